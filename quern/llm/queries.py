@@ -9,10 +9,31 @@ from pyspark.sql import functions as F
 
 from quern.llm.answers import find_defects
 from quern.llm.common import table
+from quern.llm.leakage import find_leaks
+from quern.llm.mixing import mix_report, mixture
 from quern.llm.neardup import group_pairs, near_duplicates
+from quern.llm.packing import containers, pack_documents
+from quern.llm.spam import find_spam
+from quern.llm.tokens import record_tokens, token_budget
 from quern.llm.truncation import cut_rates, find_cuts
 
 
+def p1_token_budget(spark: SparkSession, d: str) -> DataFrame:
+    return token_budget(table(spark, d, "teacher_records"), table(spark, d, "source_specs"))
+
+
+def p1_record_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return record_tokens(table(spark, d, "teacher_records"))
+
+
+def p2_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return mixture(table(spark, d, "teacher_records"), table(spark, d, "source_specs"), table(spark, d, "mix_targets"))
+
+
+def p2_mix_report(spark: SparkSession, d: str) -> DataFrame:
+    return mix_report(table(spark, d, "teacher_records"), table(spark, d, "source_specs"), table(spark, d, "mix_targets"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return find_defects(table(spark, d, "teacher_records"))
 
@@ -41,7 +62,33 @@ def p5_source_rates(spark: SparkSession, d: str) -> DataFrame:
     return cut_rates(table(spark, d, "teacher_records"), table(spark, d, "source_specs"))
 
 
+def p6_packing(spark: SparkSession, d: str) -> DataFrame:
+    return pack_documents(table(spark, d, "documents"), table(spark, d, "pack_capacities"))
+
+
+def p6_containers(spark: SparkSession, d: str) -> DataFrame:
+    return containers(p6_packing(spark, d), table(spark, d, "pack_capacities"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id").distinct()
+
+
+def p7_item_report(spark: SparkSession, d: str) -> DataFrame:
+    leaks = find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    n = F.countDistinct("doc_id")
+    return leaks.groupBy("item_id").agg(n.alias("documents"), F.countDistinct(F.when(F.col("has_answer"), F.col("doc_id"))).alias("with_answer"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return find_spam(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p3_found, p3_defect_counts, p4_found, p4_groups, p5_found, p5_source_rates)
+    f.__name__: f
+    for f in (
+        p1_token_budget, p1_record_tokens, p2_mixture, p2_mix_report, p3_found, p3_defect_counts, p4_found, p4_groups,
+        p5_found, p5_source_rates, p6_packing, p6_containers, p7_found, p7_item_report, p8_found,
+    )
 }
 SQL: dict[str, str] = {}
