@@ -2,49 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.storage import bounded, drop_stored, stored
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; one of our own only where the session names none, as in local tests."""
-    sc = spark.sparkContext
-    named = sc._jsc.sc().getCheckpointDir()
-    if named.isEmpty():
-        given = sc.getConf().get("spark.checkpoint.dir")
-        if given is None and not sc.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="checkpoint-"))
-        named = sc._jsc.sc().getCheckpointDir()
-    return named.get()
-
+__all__ = ["bounded", "drop_stored", "source_key", "source_names", "stored", "table", "with_source"]
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as a table to the shared folder and read from there: its lineage ends, it is computed once, and a
-    lost executor costs none of it."""
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def drop_stored(df: DataFrame) -> None:
-    """Delete the table of a ``stored`` DataFrame that no plan reads any more."""
-    spark = df.sparkSession
-    for f in df.inputFiles()[:1]:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f).getParent()
-        folder.getFileSystem(spark._jsc.hadoopConfiguration() if hasattr(spark, "_jsc") else spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def bounded(df: DataFrame, rows: int = 10_000) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``rows`` rows, else unchanged for a shuffled join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def source_key(c: Column) -> Column:
