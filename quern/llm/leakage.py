@@ -20,7 +20,7 @@ import html
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 
 SPAN, LONG_SPAN = 12, 16  # words; one and two of them may be altered
 BLOCK = 400
-KEEP = 0.97
-SLACK = 0.85  # of the bound, for what the latent space loses
+RANK, ROWS = 512, 2_000  # the rank to begin with, and the items' rows per task
+KEEP = 0.999
+SLACK = 0.97  # of the bound, for what the latent space and single precision lose
 SEED = 5  # words in a row that any allowed match has unaltered
 
 _TAG = re.compile(r"</?[a-zA-Z][^<>]{0,300}>|<!--.*?-->", re.S)
@@ -121,10 +122,10 @@ def randomised_svd(rows: DataFrame, n_terms: int, rank: int, power: int = 2, see
     return q
 
 
-def aligned(doc: list[str], item: list[str], at: dict[tuple, list[int]] | None = None) -> bool:
+def aligned(doc: list[str], item: list[str], at: dict[tuple, list[int]] | None = None, where: Iterable[int] | None = None) -> bool:
     """Whether ``doc`` holds at least 12 words in a row of ``item`` with at most one in eight altered (replaced, added or left out).
 
-    It is enough to find 12 words with one alteration or 16 with two: a longer match within the rule contains one of these."""
+    ``where``: positions at which unaltered runs may start; all of them unless given.  It is enough to find 12 words with one alteration or 16 with two: a longer match within the rule contains one of these."""
     if at is None:
         at = seeds(item)
     m, n = len(item), len(doc)
@@ -143,12 +144,12 @@ def aligned(doc: list[str], item: list[str], at: dict[tuple, list[int]] | None =
                         out[e] = max(out[e], k + di + v)
         return out
 
-    for j in range(n - SEED + 1):
+    for j in range(n - SEED + 1) if where is None else where:
         for i in at.get(tuple(doc[j : j + SEED]), ()):
             if (i - 1, j - 1) in seen:
                 seen.add((i, j))
                 continue
-            seen.add((i, j))
+            seen.add((i, j))  # a run is tried once, at its first seed
             right, left = reach(i, j, 1, 2), reach(i - 1, j - 1, -1, 2)
             if max(left[0] + right[1], left[1] + right[0]) >= SPAN:
                 return True
@@ -176,11 +177,11 @@ def _model(documents: DataFrame, texts: list[tuple[int, str, list[str]]]) -> dic
         c = Counter(at[w] for w in t)
         v = idf[list(c)] * np.array(list(c.values()))
         rows.append((list(c), (v / np.linalg.norm(v)).tolist()))
-    frame = spark.createDataFrame(rows, "terms array<int>, weights array<double>").repartition(4)
+    frame = spark.createDataFrame(rows, "terms array<int>, weights array<double>").repartition(-(-len(rows) // ROWS))
     dense = np.zeros((len(rows), len(vocabulary)))
     for k, (t, w) in enumerate(rows):
         dense[k, t] = w
-    rank = min(256, len(rows))
+    rank = min(RANK, len(rows), len(vocabulary))
     while True:
         basis = randomised_svd(frame, len(vocabulary), rank)
         inside = dense @ basis
@@ -192,50 +193,51 @@ def _model(documents: DataFrame, texts: list[tuple[int, str, list[str]]]) -> dic
     def weakest(t: list[str], span: int, altered: int) -> float:
         e = energy[[at[w] for w in t]]
         if len(e) < span:
-            return float("inf")
+            return 1e9
         win = np.sort(np.lib.stride_tricks.sliding_window_view(e, span), axis=1)
         return float(win[:, : span - altered].sum(axis=1).min())
 
     norms = np.array([np.linalg.norm(idf[list(c := Counter(at[w] for w in t))] * np.array(list(c.values()))) for _, _, t in texts])
     floor = np.array([[weakest(t, SPAN, 1), weakest(t, LONG_SPAN, 2)] for _, _, t in texts])
-    return {
-        "at": at, "idf": idf, "energy": energy, "floor": floor.min(axis=0) * SLACK,
-        "scores": (basis @ inside.T).astype(np.float32),  # term x item text: cosine part of one word with one item, in the latent space
-        "need": (floor / norms[:, None] * SLACK).astype(np.float32),
-    }
+    need = floor / norms[:, None] * SLACK
+    # part of a window's dot product with each item that one word brings, and as share of what the item needs at most
+    scores = (idf[:, None] * (basis @ inside.T)).astype(np.float32)
+    most = np.stack([np.maximum((scores / need[:, k]).max(axis=1), 0) for k in range(2)], axis=1)
+    return {"at": at, "scores": scores, "need": need.astype(np.float32), "most": most}
 
 
-def _candidates(words: list[str], m: dict) -> np.ndarray:
-    """Indexes of the item texts that some window of the document may hold."""
+def _candidates(words: list[str], m: dict) -> dict[int, list[int]]:
+    """For each item text that some window of the document may hold, the positions of its words in those windows.
+
+    The sum of its words' ``most`` bounds what any item gets from a window, as share of the item's need: below 1, none passes."""
     n = len(words)
     if n < SPAN - 1:
-        return np.empty(0, np.int64)
+        return {}
     get = m["at"].get
     ids = np.array([get(w, -1) for w in words])
-    known = np.flatnonzero(ids >= 0)
-    if len(known) < SPAN - 2:
-        return np.empty(0, np.int64)
-    e = np.zeros(n)
-    e[known] = m["energy"][ids[known]]
-    c = np.concatenate([[0.0], np.cumsum(e)])
-    hit: list[np.ndarray] = []
+    known = ids >= 0
+    if known.sum() < SPAN - 2:
+        return {}
+    out: dict[int, set[int]] = {}
     for k, span in enumerate((SPAN, LONG_SPAN)):
         w = min(span, n)
-        starts = np.flatnonzero(c[w:] - c[:-w] >= m["floor"][k])
-        if not len(starts):
-            continue
-        # latent dot products of the windows, from sums over their words
-        lo, hi = int(starts[0]), int(starts[-1]) + w
-        if len(starts) * 4 < hi - lo:  # few windows far apart: gather each
-            pieces = [ids[s : s + w] for s in starts]
-            dots = np.stack([(m["idf"][p[p >= 0], None] * m["scores"][p[p >= 0]]).sum(axis=0) for p in pieces])
-        else:
-            part = ids[lo:hi]
-            x = np.where(part[:, None] >= 0, m["idf"][part][:, None] * m["scores"][part], 0)
-            s = np.concatenate([np.zeros((1, x.shape[1])), np.cumsum(x, axis=0)])
-            dots = s[starts - lo + w] - s[starts - lo]
-        hit.append(np.flatnonzero((dots >= m["need"][:, k]).any(axis=0)))
-    return np.unique(np.concatenate(hit)) if hit else np.empty(0, np.int64)
+        c = np.concatenate([[0.0], np.cumsum(np.where(known, m["most"][ids, k], 0))])
+        starts = np.flatnonzero(c[w:] - c[:-w] >= 1)
+        for part in np.array_split(starts, -(-len(starts) // 512)) if len(starts) else ():
+            # sums over windows from running sums over the positions that any of them covers
+            used = np.zeros(n + 1, np.int32)
+            np.add.at(used, part, 1)
+            np.add.at(used, part + w, -1)
+            pos = np.flatnonzero(np.cumsum(used)[:n] > 0)
+            rows = m["scores"][ids[pos]]
+            rows[~known[pos]] = 0
+            total = np.concatenate([np.zeros((1, rows.shape[1]), np.float32), np.cumsum(rows, axis=0)])
+            first = np.searchsorted(pos, part)
+            dots = total[first + w] - total[first]
+            at, q = np.nonzero(dots >= m["need"][:, k])
+            for s, x in zip(part[at].tolist(), q.tolist()):
+                out.setdefault(x, set()).update(range(s, s + w - SEED + 1))
+    return {q: sorted(js) for q, js in out.items()}
 
 
 def find_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
@@ -263,11 +265,11 @@ def find_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
                 found: list[tuple] = []
                 for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                     words = fold(text)
-                    for q in _candidates(words, m):
+                    for q, where in _candidates(words, m).items():
                         item_id, part, item = texts[q]
                         if q not in index:
                             index[q] = seeds(item)
-                        if aligned(words, item, index[q]):
+                        if aligned(words, item, index[q], where):
                             a = answers[item_id]
                             has = bool(a) and any(words[j : j + len(a)] == a for j in range(len(words) - len(a) + 1))
                             found.append((doc_id, item_id, part, has))
