@@ -21,12 +21,12 @@ _LATIN_WORD = re.compile(r"[a-zà-öø-ÿœ]+")
 
 
 def scores(text: str) -> dict[str, float]:
-    """Evidence per language in words; Han characters count as half a word, Cyrillic words as one."""
+    """Evidence per language in words; three Han characters count as a function word, twelve Cyrillic letters as one."""
     low = text.lower()
     out: dict[str, float] = {}
     if not low.isascii():
         if n := len(_HAN.findall(low)):
-            out["zh"] = n / 4
+            out["zh"] = n / 3
         if n := len(_CYR.findall(low)):
             out["ru"] = n / 12
     for w in _WORD.findall(low):
