@@ -21,6 +21,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -122,14 +123,9 @@ def randomised_svd(rows: DataFrame, n_terms: int, rank: int, power: int = 2, see
     return q
 
 
-def aligned(doc: list[str], item: list[str], at: dict[tuple, list[int]] | None = None, where: Iterable[int] | None = None) -> bool:
-    """Whether ``doc`` holds at least 12 words in a row of ``item`` with at most one in eight altered (replaced, added or left out).
-
-    ``where``: positions at which unaltered runs may start; all of them unless given.  It is enough to find 12 words with one alteration or 16 with two: a longer match within the rule contains one of these."""
-    if at is None:
-        at = seeds(item)
+def _matches(doc: list[str], item: list[str], i: int, j: int) -> bool:
+    """Whether the unaltered run at ``item[i]``, ``doc[j]`` extends to 12 words with one alteration or 16 with two."""
     m, n = len(item), len(doc)
-    seen: set[tuple[int, int]] = set()
 
     def reach(i: int, j: int, step: int, left: int) -> list[int]:
         """Most item words passed from (i, j) in direction ``step`` with 0..left alterations."""
@@ -141,30 +137,47 @@ def aligned(doc: list[str], item: list[str], at: dict[tuple, list[int]] | None =
             for di, dj in ((1, 1), (1, 0), (0, 1)):
                 if 0 <= j < n or not dj:
                     for e, v in enumerate(reach(i + di * step, j + dj * step, step, left - 1), 1):
-                        out[e] = max(out[e], k + di + v)
+                        if v:  # an alteration counts within a match, not at its end
+                            out[e] = max(out[e], k + di + v)
         return out
 
-    for j in range(n - SEED + 1) if where is None else where:
-        for i in at.get(tuple(doc[j : j + SEED]), ()):
-            if (i - 1, j - 1) in seen:
-                seen.add((i, j))
-                continue
-            seen.add((i, j))  # a run is tried once, at its first seed
-            right, left = reach(i, j, 1, 2), reach(i - 1, j - 1, -1, 2)
-            if max(left[0] + right[1], left[1] + right[0]) >= SPAN:
-                return True
-            if max(left[0] + right[2], left[1] + right[1], left[2] + right[0]) >= LONG_SPAN:
-                return True
-    return False
-
-
-def seeds(item: list[str]) -> dict[tuple, list[int]]:
-    at: dict[tuple, list[int]] = {}
-    for i in range(len(item) - SEED + 1):
-        at.setdefault(tuple(item[i : i + SEED]), []).append(i)
+    right, left = reach(i, j, 1, 2), reach(i - 1, j - 1, -1, 2)
+    return max(left[0] + right[1], left[1] + right[0]) >= SPAN or max(left[0] + right[2], left[1] + right[1], left[2] + right[0]) >= LONG_SPAN
+
+
+def aligned(doc: list[str], item: list[str]) -> bool:
+    """Whether ``doc`` holds at least 12 words in a row of ``item`` with at most one in eight altered (replaced, added or left out).
+
+    It is enough to find 12 words with one alteration or 16 with two: a longer match within the rule contains one of these."""
+    return bool(verified(doc, {0}, range(len(doc) - SEED + 1), seeds([item]), [item]))
+
+
+def seeds(items: list[list[str]]) -> dict[tuple, list[tuple[int, int]]]:
+    """(item, position) by the run of ``SEED`` words there."""
+    at: dict[tuple, list[tuple[int, int]]] = {}
+    for q, item in enumerate(items):
+        for i in range(len(item) - SEED + 1):
+            at.setdefault(tuple(item[i : i + SEED]), []).append((q, i))
     return at
 
 
+def verified(doc: list[str], candidates: set[int], where: Iterable[int], at: dict[tuple, list[tuple[int, int]]], items: list[list[str]]) -> set[int]:
+    """The candidates that the document holds.  ``where``: positions, ascending, at which unaltered runs may start; a run is tried at its first seed."""
+    out: set[int] = set()
+    tried: set[tuple[int, int]] = set()
+    for j in where:
+        for q, i in at.get(tuple(doc[j : j + SEED]), ()):
+            if q not in candidates or q in out:
+                continue
+            diagonal = (q, i - j)
+            if diagonal in tried and i and j and doc[j - 1] == items[q][i - 1]:
+                continue
+            tried.add(diagonal)
+            if _matches(doc, items[q], i, j):
+                out.add(q)
+    return out
+
+
 def _model(documents: DataFrame, texts: list[tuple[int, str, list[str]]]) -> dict:
     """Word weights, the items' vectors projected to the latent space, and the thresholds of one block of items."""
     spark = documents.sparkSession
@@ -206,38 +219,42 @@ def _model(documents: DataFrame, texts: list[tuple[int, str, list[str]]]) -> dic
     return {"at": at, "scores": scores, "need": need.astype(np.float32), "most": most}
 
 
-def _candidates(words: list[str], m: dict) -> dict[int, list[int]]:
-    """For each item text that some window of the document may hold, the positions of its words in those windows.
+def _candidates(words: list[str], m: dict) -> tuple[set[int], list[int]]:
+    """The item texts that some window of the document may hold, and the positions at which runs in these windows may start.
 
     The sum of its words' ``most`` bounds what any item gets from a window, as share of the item's need: below 1, none passes."""
     n = len(words)
     if n < SPAN - 1:
-        return {}
-    get = m["at"].get
-    ids = np.array([get(w, -1) for w in words])
+        return set(), []
+    ids = np.fromiter(map(m["at"].get, words, repeat(-1)), np.int64, n)
     known = ids >= 0
-    if known.sum() < SPAN - 2:
-        return {}
-    out: dict[int, set[int]] = {}
+    if np.count_nonzero(known) < SPAN - 2:
+        return set(), []
+    share = m["most"][ids]
+    share[~known] = 0
+    running = np.zeros((n + 1, 2))
+    np.cumsum(share, axis=0, out=running[1:])
+    found: set[int] = set()
+    begin = np.zeros(n, bool)
     for k, span in enumerate((SPAN, LONG_SPAN)):
         w = min(span, n)
-        c = np.concatenate([[0.0], np.cumsum(np.where(known, m["most"][ids, k], 0))])
-        starts = np.flatnonzero(c[w:] - c[:-w] >= 1)
+        starts = np.flatnonzero(running[w:, k] - running[:-w, k] >= 1)
         for part in np.array_split(starts, -(-len(starts) // 512)) if len(starts) else ():
             # sums over windows from running sums over the positions that any of them covers
-            used = np.zeros(n + 1, np.int32)
-            np.add.at(used, part, 1)
-            np.add.at(used, part + w, -1)
-            pos = np.flatnonzero(np.cumsum(used)[:n] > 0)
+            used = np.zeros(n, bool)
+            used[(part[:, None] + np.arange(w)).ravel()] = True
+            pos = np.flatnonzero(used)
             rows = m["scores"][ids[pos]]
             rows[~known[pos]] = 0
-            total = np.concatenate([np.zeros((1, rows.shape[1]), np.float32), np.cumsum(rows, axis=0)])
+            total = np.zeros((len(pos) + 1, rows.shape[1]), np.float32)
+            np.cumsum(rows, axis=0, out=total[1:])
             first = np.searchsorted(pos, part)
-            dots = total[first + w] - total[first]
-            at, q = np.nonzero(dots >= m["need"][:, k])
-            for s, x in zip(part[at].tolist(), q.tolist()):
-                out.setdefault(x, set()).update(range(s, s + w - SEED + 1))
-    return {q: sorted(js) for q, js in out.items()}
+            hit = total[first + w] - total[first] >= m["need"][:, k]
+            rows_hit = hit.any(axis=1)
+            if rows_hit.any():
+                found.update(np.flatnonzero(hit.any(axis=0)).tolist())
+                begin[(part[rows_hit][:, None] + np.arange(w - SEED + 1)).ravel()] = True
+    return found, np.flatnonzero(begin).tolist()
 
 
 def find_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
@@ -260,19 +277,18 @@ def find_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
 
         def search(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
             m, texts, answers = model.value
-            index: dict[int, dict] = {}
+            lists = [t[2] for t in texts]
+            at = seeds(lists)
             for b in batches:
                 found: list[tuple] = []
                 for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                     words = fold(text)
-                    for q, where in _candidates(words, m).items():
-                        item_id, part, item = texts[q]
-                        if q not in index:
-                            index[q] = seeds(item)
-                        if aligned(words, item, index[q], where):
-                            a = answers[item_id]
-                            has = bool(a) and any(words[j : j + len(a)] == a for j in range(len(words) - len(a) + 1))
-                            found.append((doc_id, item_id, part, has))
+                    candidates, where = _candidates(words, m)
+                    for q in verified(words, candidates, where, at, lists) if candidates else ():
+                        item_id, part, _ = texts[q]
+                        a = answers[item_id]
+                        has = bool(a) and any(words[j : j + len(a)] == a for j in range(len(words) - len(a) + 1))
+                        found.append((doc_id, item_id, part, has))
                 yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.string(), pa.bool_()))], ["doc_id", "item_id", "part", "has_answer"])
 
         part = docs.mapInArrow(search, schema)
