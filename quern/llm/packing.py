@@ -1,13 +1,15 @@
 """Problem 6: documents in containers of fixed capacity, by sum-of-squares packing.
 
 Documents are dealt to packing shards by hash; a shard is one bounded group of ``SHARD`` documents on average, packed
-in one task.  Within a shard every document goes, largest first, where the sum over residual gaps of the squared number of
+in one task.  Within a shard every document goes, in hashed order, where the sum over residual gaps of the squared number of
 open containers with that gap becomes smallest; a tie goes to the fullest container.  The waste of a shard is its last open
-containers, so it falls as shards grow.
+containers, whose items are placed once more at the end; it falls as shards grow.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -64,18 +66,49 @@ def pack(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return place, np.array(levels, np.int64)
 
 
+def consolidate(sizes: np.ndarray, place: np.ndarray, levels: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Empty the containers that are still open and place their items again, largest first, each where least room is left; kept if it
+    needs fewer containers.  Sum of squares keeps gaps of every size open for items to come; at the end none come."""
+    left = levels < capacity
+    items = np.flatnonzero(left[place] & (sizes > 0))
+    if not len(items):
+        return place, levels
+    room: list[tuple[int, int]] = []  # (free, container), ascending
+    level: list[int] = []
+    to = np.empty(len(items), np.int64)
+    for k in np.argsort(-sizes[items], kind="stable").tolist():
+        s = int(sizes[items[k]])
+        at = bisect_left(room, (s, -1))
+        if at < len(room):
+            free, b = room.pop(at)
+        else:
+            free, b = capacity, len(level)
+            level.append(0)
+        level[b] += s
+        to[k] = b
+        if free > s:
+            insort(room, (free - s, b))
+    if len(level) >= int(left.sum()):
+        return place, levels
+    kept = np.flatnonzero(~left)
+    number = np.full(len(levels), 0)  # items of no size go with the first container
+    number[kept] = np.arange(len(kept))
+    place = number[place]
+    place[items] = to + len(kept)
+    return place, np.concatenate([levels[kept], np.array(level, np.int64)])
+
+
 def _pack_shard(pdf: pd.DataFrame) -> pd.DataFrame:
     r = pdf.iloc[0]
     capacity, shard, pack_id = int(r["capacity"]), int(r["shard"]), r["pack_id"]
-    pdf = pdf.sort_values(["tokens", "doc_id"], ascending=[False, True])
+    pdf = pdf.sort_values(["mix", "doc_id"])
     doc, size = pdf["doc_id"].to_numpy(), pdf["tokens"].to_numpy()
     whole, rest = size // capacity, size % capacity
     whole = np.where((size > 0) & (size <= capacity) & (rest == 0), 0, whole)
     rest = np.where((size == capacity), capacity, rest)
     # a document larger than a container fills some alone; only its remainder is packed with others
     item = np.flatnonzero((rest > 0) | (size == 0))
-    item = item[np.argsort(-rest[item], kind="stable")]
-    place, levels = pack(rest[item], capacity)
+    place, levels = consolidate(rest[item], *pack(rest[item], capacity), capacity)
     full = np.repeat(np.arange(len(doc)), whole)
     part = np.arange(len(full)) - np.repeat(np.cumsum(whole) - whole, whole)
     own = np.arange(len(full)) + len(levels)
@@ -104,7 +137,7 @@ def pack_documents(documents: DataFrame, capacities: DataFrame, path: str = VOCA
     sized = token_counts(docs, "doc_id", path=path).groupBy("doc_id").agg(F.min("tokens").alias("tokens"))
     shards = max(1, -(-docs.count() // shard_size))
     each = F.explode(F.array(*[F.struct(F.lit(p).cast("int").alias("pack_id"), F.lit(c).cast("int").alias("capacity")) for p, c in sorted(packs)]))
-    rows = sized.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")).select("doc_id", "tokens", "shard", each.alias("p")).select("doc_id", "tokens", "shard", "p.*")
+    rows = sized.withColumn("mix", F.xxhash64("doc_id")).withColumn("shard", F.pmod("mix", F.lit(shards)).cast("int")).select("doc_id", "tokens", "mix", "shard", each.alias("p")).select("doc_id", "tokens", "mix", "shard", "p.*")
     return rows.groupBy("pack_id", "shard").applyInPandas(_pack_shard, out)
 
 
