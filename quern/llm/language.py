@@ -21,14 +21,14 @@ _LATIN_WORD = re.compile(r"[a-zà-öø-ÿœ]+")
 
 
 def scores(text: str) -> dict[str, float]:
-    """Evidence per language in words; three Han characters count as a function word, twelve Cyrillic letters as one."""
+    """Evidence per language in words; three Han characters count as a function word, eight Cyrillic letters as one."""
     low = text.lower()
     out: dict[str, float] = {}
     if not low.isascii():
         if n := len(_HAN.findall(low)):
             out["zh"] = n / 3
         if n := len(_CYR.findall(low)):
-            out["ru"] = n / 12
+            out["ru"] = n / 8
     for w in _WORD.findall(low):
         for k in (of := _OF.get(w, ())):  # a word that languages share counts less for each
             out[k] = out.get(k, 0) + 1 / len(of)

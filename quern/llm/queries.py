@@ -91,4 +91,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         p5_found, p5_source_rates, p6_packing, p6_containers, p7_found, p7_item_report, p8_found,
     )
 }
-SQL: dict[str, str] = {}
+#: Only the groups of problem 4 can be said in SQL, by brute force over shared word triples; the others are tested against brute force in Python.
+SQL: dict[str, str] = {
+    "p4_found": r"""with recursive w as (select id, min(regexp_extract_all(lower(coalesce(prompt_text, '') || ' ' || coalesce(context_text, '')), '[\p{L}\p{N}]+')) as a from prompt_records where id is not null group by id),
+    s as (select distinct id, unnest(case when len(a) < 3 then [array_to_string(a, ' ')] else [a[i] || ' ' || a[i + 1] || ' ' || a[i + 2] for i in range(1, len(a) - 1)] end) as g from w where len(a) > 0),
+    n as (select id, count(*) as n from s group by id),
+    c as (select x.id as a, y.id as b, count(*) as c from s x join s y on x.g = y.g and x.id < y.id group by all),
+    l as (select a, b from c join n na on na.id = c.a join n nb on nb.id = c.b where 2 * c >= na.n + nb.n - c),
+    e as (select a, b from l union all select b, a from l),
+    r(a, b) as (select a, b from e union select r.a, e.b from r join e on r.b = e.a)
+    select a as id_a, b as id_b from r where a < b"""
+}
