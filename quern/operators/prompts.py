@@ -9,7 +9,9 @@ from pyspark.sql import types as T
 from quern.functions.text import CONTEXT_FIELDS, MESSAGE_FIELDS, MESSAGE_ROLE_FIELDS, MESSAGE_TEXT_FIELDS, PROMPT_FIELDS, USER_ROLES, clean_text, first_text, is_context_role, media_values, message_role, message_text
 
 MESSAGE = T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in (*MESSAGE_ROLE_FIELDS, *MESSAGE_TEXT_FIELDS)]))
-DEFAULT_TEACHER_PROMPT = "Use the context to write a helpful reply."
+# The instruction of context rows without one of their own, the role of sources without one, the policy tag.
+DEFAULT_TEACHER_PROMPT = "Respond helpfully using the provided context while preserving the teacher model's normal style."
+DEFAULT_ROLE = "prompt_context_bank"
 TARGET_POLICY = "teacher_generated_output_only"
 
 
@@ -23,11 +25,15 @@ def with_wide_messages(df: DataFrame) -> DataFrame:
     for n in MESSAGE_FIELDS:
         if n in df.columns:
             have = {f.name for f in df.schema[n].dataType.elementType.fields}
-            wide = lambda m, have=have: F.struct(*[(m[f.name] if f.name in have else F.lit(None)).cast("string").alias(f.name) for f in MESSAGE.elementType.fields])
-            df = df.withColumn(n, F.transform(n, wide))
+            fields = [(f.name, f.name in have) for f in MESSAGE.elementType.fields]
+            df = df.withColumn(n, F.transform(n, lambda m: _wide(m, fields)))
     return df
 
 
+def _wide(m: Column, fields: list[tuple[str, bool]]) -> Column:
+    return F.struct(*[(m[n] if has else F.lit(None)).cast("string").alias(n) for n, has in fields])
+
+
 def messages(df: DataFrame) -> Column:
     """The first message column that isn't null, an empty list included; without null entries."""
     found = _present(df, MESSAGE_FIELDS)
@@ -78,11 +84,11 @@ def prompt_records(rows: DataFrame, sources: DataFrame, source_col: str, key: li
     """
     rows = with_wide_messages(rows)
     r = rows.withColumn("_prompt", user_prompt(rows)).withColumn("_context", context(rows)).withColumn("_media", collected_media(rows))
-    spec = sources.select(F.col("id").alias("_source"), F.col("role").alias("_role"), F.col("modality").alias("_modality"), F.col("license_hint").alias("_license"), (F.col("teacher_prompt") if "teacher_prompt" in sources.columns else F.lit(None)).cast("string").alias("_teacher"))
+    spec = sources.select(F.col("id").alias("_source"), F.coalesce(F.nullif("role", F.lit("")), F.lit(DEFAULT_ROLE)).alias("_role"), F.col("modality").alias("_modality"), F.coalesce("license_hint", F.lit("")).alias("_license"), (F.col("teacher_prompt") if "teacher_prompt" in sources.columns else F.lit(None)).cast("string").alias("_teacher"))
     j = r.join(spec, F.col(source_col) == F.col("_source"))
     only = is_context_role("_role")
     prompt = F.when(only, first_text("_teacher", F.lit(DEFAULT_TEACHER_PROMPT))).otherwise(F.col("_prompt"))
-    j = j.withColumn("prompt_text", clean_text(prompt, max_chars)).withColumn("context_text", clean_text("_context", max_chars))
+    j = j.withColumn("prompt_text", F.when(only, prompt).otherwise(clean_text(prompt, max_chars))).withColumn("context_text", clean_text("_context", max_chars))
     j = j.where(F.when(only, F.col("context_text") != "").otherwise((F.col("prompt_text") != "") | (F.col("context_text") != "")))
     same = F.col("context_text") == F.col("prompt_text")
     return j.select(

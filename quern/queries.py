@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quern.functions import arrays, rng
 from quern.functions import text as X
 from quern.operators import blocks, contract, flow, prompts, scores, weights
+from quern.sources import readers
 from quern.storage import prefix_sums
 from quern.streaming import streams
 
@@ -158,14 +159,14 @@ _CONTEXT_ROLE = "(role in ('plain_text_corpus', 'code_context_stream', 'math_sci
 
 
 @query(
-    f"""with r as (select distinct r.id as k, s.id as source, coalesce(s.role, '') as role, coalesce(s.modality, 'text') as modality, {stripped('r.prompt_text')} as p0, {stripped('r.context_text')} as c0
-    from prompt_records r join source_specs s on r.source = s.id), c as (select *, {cleaned(f"(case when {_CONTEXT_ROLE} then 'Use the context to write a helpful reply.' else p0 end)", 12000)} as p, {cleaned('c0', 12000)} as c from r)
+    f"""with r as (select distinct r.id as k, s.id as source, coalesce(nullif(s.role, ''), 'prompt_context_bank') as role, coalesce(s.modality, 'text') as modality, {stripped('r.prompt_text')} as p0, {stripped('r.context_text')} as c0
+    from prompt_records r join source_specs s on r.source = s.id), c as (select *, {cleaned(f"(case when {_CONTEXT_ROLE} then '" + prompts.DEFAULT_TEACHER_PROMPT.replace("'", "''") + "' else p0 end)", 12000)} as p, {cleaned('c0', 12000)} as c from r)
     select sha256(source || '|' || k) as id, source, role, modality, md5(p) as prompt_md5, md5(case when c = p then '' else c end) as context_md5 from c where case when {_CONTEXT_ROLE} then c <> '' else p <> '' or c <> '' end"""
 )
 def prompt_records(spark, d):
     rows = table(spark, d, "prompt_records").select(F.col("id").alias("k"), "source", F.col("prompt_text").alias("prompt"), F.col("context_text").alias("context")).distinct()
     r = prompts.prompt_records(rows, table(spark, d, "source_specs"), "source", ["k"])
-    return r.select("id", "source", F.coalesce("role", F.lit("")).alias("role"), "modality", F.md5("prompt_text").alias("prompt_md5"), F.md5("context_text").alias("context_md5"))
+    return r.select("id", "source", "role", "modality", F.md5("prompt_text").alias("prompt_md5"), F.md5("context_text").alias("context_md5"))
 
 
 @query("select id, name, role from source_specs where coalesce(enabled, true) and (id in ('quafer/edu_pages', 'chat_turns', 'retired_bank') or name in ('quafer/edu_pages', 'chat_turns', 'retired_bank'))")
@@ -368,7 +369,7 @@ def random_canvas(spark, d):
 _BASE = "(select 'model.language_model.layers.' || p_partkey || '.mlp.' || case p_size % 3 when 0 then 'gate_proj' when 1 then 'up_proj' else 'down_proj' end || '.weight' as key, p_size as rows, 8 as cols from part)"
 _TARGET = """(select case when p_partkey % 2 = 0 then 'model.encoder.language_model.layers.' else 'model.decoder.layers.' end || p_partkey || case when p_size % 5 = 0 then '.attn.q_proj'
     else '.mlp.' || case p_size % 3 when 0 then 'gate_proj' when 1 then 'up_proj' else 'down_proj' end end || '.weight' as key, p_size as rows, case when p_partkey % 7 = 0 then 9 else 8 end as cols from part)"""
-_MATCH = f"""(select t.key, case when starts_with(t.key, 'model.encoder.') then 'encoder' else 'decoder' end as family, b.key as source,
+_MATCH = f"""(select t.key, case when starts_with(t.key, 'model.encoder.') then 'text_encoder' else 'diffusion_decoder' end as family, b.key as source,
     case when b.key is null then 'missing_source' when b.rows = t.rows and b.cols = t.cols then 'copied' else 'shape_mismatch' end as status
     from {_TARGET} t left join {_BASE} b on regexp_replace(t.key, '^model\\.(encoder\\.language_model|decoder)\\.', '') = regexp_replace(b.key, '^model\\.language_model\\.', ''))"""
 
@@ -510,6 +511,4 @@ def event_windows(spark, d):
 
 @query("select event_id as step, event_type, user_id from events order by event_id desc limit 20")
 def log_tail(spark, d):
-    from quern.sources.readers import log_tail as tail
-
-    return tail(table(spark, d, "events").select(F.col("event_id").alias("step"), "event_type", "user_id"))
+    return readers.log_tail(table(spark, d, "events").select(F.col("event_id").alias("step"), "event_type", "user_id"))

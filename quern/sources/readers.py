@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from quern.functions.text import slug
+from quern.functions.text import media_values
 from quern.operators.flow import seeded_shuffle
+from quern.storage import prefix_sums
 
 MESSAGE = "array<struct<role:string,`from`:string,speaker:string,content:string,value:string,text:string,message:string>>"
 SOURCE_CONFIG = (
@@ -75,8 +77,6 @@ def read_ordered(spark: SparkSession, path: str, record_order: str = "shuffled",
     spark.dataSource.register(JsonLineOffsets)
     lines = spark.read.format("jsonl_offsets").load(path)
     if record_order == "source":
-        from quern.storage import prefix_sums
-
         return prefix_sums(lines, ["path", "offset"]).withColumnRenamed("ordinal", "position")
     return seeded_shuffle(lines, seed, "path", "offset")
 
@@ -88,8 +88,6 @@ def read_sources(spark: SparkSession, path: str) -> DataFrame:
 
 def manifest_path(source: dict, folder: str = "data/manifests") -> str:
     """Where a source's manifest is: as given, else named by the slug of its name or id."""
-    import re
-
     return source.get("manifest_path") or f"{folder}/{re.sub('[^A-Za-z0-9_.-]+', '_', source.get('name') or source['id'])}.jsonl"
 
 
@@ -110,8 +108,6 @@ def read_manifests(spark: SparkSession, sources: list[dict], schema: T.StructTyp
 
 def read_mirror(spark: SparkSession, root: str, source: dict, format: str = "parquet") -> DataFrame:
     """Rows of a dataset's local mirror: root / slug of its id / configuration / split, which is ``train`` unless named."""
-    import re
-
     parts = [re.sub("[^A-Za-z0-9_.-]+", "_", source["id"]), *([source["config"]] if source.get("config") else []), source.get("split") or "train"]
     return spark.read.format(format).load(os.path.join(root, *parts)).withColumn("source_id", F.lit(source["id"]))
 
@@ -127,8 +123,6 @@ def read_files(spark: SparkSession, root: str) -> DataFrame:
 
 def read_media(spark: SparkSession, records: DataFrame, keys: tuple[str, ...], root: str, id_col: str = "id") -> DataFrame:
     """(id, index, path, content): the media files under ``keys`` of each record's media map, joined to their bytes; files that don't exist are left out."""
-    from quern.functions.text import media_values
-
     wanted = records.select(id_col, F.posexplode(media_values("media", *keys)).alias("index", "path"))
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(F.regexp_replace("path", "^file:/*", "/").alias("_file"), "content")
     base = root.rstrip("/")
@@ -165,10 +159,11 @@ def decode_audio(media: DataFrame) -> DataFrame:
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """Shard rows with their attention mask rebuilt from the prefix's length."""
-    from quern.functions.arrays import attention_mask
-
     s = spark.read.parquet(path)
-    return s.withColumn("attention_mask", F.concat(F.array_repeat(F.lit(0), F.size("prefix_ids") - F.col("prefix_lens")), F.array_repeat(F.lit(1), F.col("prefix_lens").cast("int")))) if "prefix_lens" in s.columns else s
+    if "prefix_lens" not in s.columns:
+        return s
+    pad, kept = F.size("prefix_ids") - F.col("prefix_lens"), F.col("prefix_lens").cast("int")
+    return s.withColumn("attention_mask", F.concat(F.array_repeat(F.lit(0), pad), F.array_repeat(F.lit(1), kept)))
 
 
 def latest_checkpoint(folder: str) -> str | None:
@@ -185,5 +180,3 @@ def log_tail(log: DataFrame, n: int = 20, step: str = "step") -> DataFrame:
     """The last ``n`` rows of a step log."""
     return log.orderBy(F.desc(step)).limit(n).orderBy(step)
 
-
-__all__ = [n for n in dir() if n.startswith(("read_", "decode_", "log_", "latest_", "manifest_"))] + ["JsonLineOffsets", "slug"]

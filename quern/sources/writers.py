@@ -37,13 +37,23 @@ def write_shards(rows: DataFrame, path: str) -> None:
     rows.repartition("family", "shard_id").write.mode("overwrite").partitionBy("family", "shard_id").parquet(path)
 
 
-def presets(values: dict[str, dict[str, object]], name: str, style: str = "json") -> str:
+# The presets and the variable that chooses the training mode per shell.
+PRESETS = {
+    "gpu": {
+        "target_estimated_tokens": 50_000_000, "target_blocks": 200_000, "max_steps": 200_000, "batch_size": 1, "grad_accum": 32, "learning_rate": "2e-4",
+        "train_mode_windows": "lora", "train_mode_linux": "qlora",
+    }
+}
+MODE = {"bash": 'export DG_TRAIN_MODE="$DG_TRAIN_MODE_LINUX"', "powershell": "$env:DG_TRAIN_MODE=$env:DG_TRAIN_MODE_WINDOWS"}
+
+
+def presets(name: str = "gpu", style: str = "json", values: dict[str, dict[str, object]] = PRESETS) -> str:
     """A preset as JSON, as shell exports or as PowerShell assignments."""
     p = values[name]
     if style == "json":
         return json.dumps(p, indent=2)
-    line = "export DG_{}={}" if style == "bash" else '$env:DG_{}="{}"'
-    return "\n".join(line.format(k.upper(), v) for k, v in p.items())
+    line = 'export DG_{}="{}"' if style == "bash" else '$env:DG_{}="{}"'
+    return "\n".join([*(line.format(k.upper(), v) for k, v in p.items()), MODE[style]])
 
 
 def write_bundle(files: DataFrame, path: str, root: str) -> dict:
