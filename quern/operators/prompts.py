@@ -45,7 +45,8 @@ def user_prompt(df: DataFrame) -> Column:
     m = messages(df)
     mine = F.filter(m, lambda x: message_role(x).isin(*USER_ROLES) & (message_text(x) != ""))
     fields = _present(df, PROMPT_FIELDS)
-    return F.when(F.size(F.coalesce(m, F.array().cast(MESSAGE))) > 0, F.coalesce(message_text(F.get(mine, F.lit(0))), message_text(F.get(m, F.lit(0))))).otherwise(first_text(*fields) if fields else F.lit(""))
+    from_messages = message_text(F.get(F.when(F.size(mine) > 0, mine).otherwise(m), F.lit(0)))
+    return F.when(F.size(F.coalesce(m, F.array().cast(MESSAGE))) > 0, from_messages).otherwise(first_text(*fields) if fields else F.lit(""))
 
 
 def context(df: DataFrame, turns: int = 3) -> Column:
@@ -56,6 +57,10 @@ def context(df: DataFrame, turns: int = 3) -> Column:
     return F.coalesce(F.nullif(first_text(*fields), F.lit("")) if fields else F.lit(None).cast("string"), F.array_join(texts, "\n\n"), F.lit(""))
 
 
+def _overwrite(old: Column, new: Column) -> Column:
+    return F.map_concat(F.map_filter(old, lambda k, v: ~F.map_contains_key(new, k)), new)
+
+
 def collected_media(df: DataFrame) -> Column:
     """map<string, array<string>> of a row: its media map, then image(s) and audio(s), later keys overwriting earlier, then media_path and url; empty lists left out."""
     bag = "map<string,array<string>>"
@@ -71,7 +76,7 @@ def collected_media(df: DataFrame) -> Column:
         return F.create_map().cast(bag)
     out = parts[0]
     for p in parts[1:]:  # the later key wins whatever spark.sql.mapKeyDedupPolicy says
-        out = F.map_concat(F.map_filter(out, lambda k, v, p=p: ~F.map_contains_key(p, k)), p)
+        out = _overwrite(out, p)
     return F.map_filter(out, lambda k, v: F.size(v) > 0)
 
 
