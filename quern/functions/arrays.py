@@ -29,21 +29,23 @@ def hash_tokens(text: Column | str, vocabulary: int = 262_144) -> Column:
 
 def blocks(ids: Column | str, length: int) -> Column:
     """The ids in blocks of ``length``, the last one padded with -100; empty or null ids have none."""
-    ids = _c(ids)
-    n = F.size(F.coalesce(ids, F.array().cast("array<bigint>")))
-    at = F.when(n > 0, F.sequence(F.lit(0), F.ceil(n / length).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: right_pad(F.slice(ids, i * length + 1, length), length))
+
+    def made(ids: Column) -> Column:
+        n = F.size(ids)
+        at = F.when(n > 0, F.sequence(F.lit(0), F.ceil(n / length).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(at, lambda i: right_pad(F.slice(ids, i * length + 1, length), length))
+
+    return let(F.coalesce(_c(ids), F.array().cast("array<bigint>")), made)
 
 
 def right_pad(ids: Column, length: int, pad: int = NO_LABEL) -> Column:
-    return F.concat(ids, F.array_repeat(F.lit(pad).cast("bigint"), F.greatest(F.lit(length) - F.size(ids), F.lit(0))))
+    return let(ids, lambda x: F.concat(x, F.array_repeat(F.lit(pad).cast("bigint"), F.greatest(F.lit(length) - F.size(x), F.lit(0)))))
 
 
 def left_pad(ids: Column | str, length: int, pad: int = 0) -> Column:
     """The last ``length`` ids, padded on the left."""
-    ids = _c(ids)
-    kept = F.slice(ids, F.greatest(F.size(ids) - length, F.lit(0)) + 1, length)
-    return F.concat(F.array_repeat(F.lit(pad).cast("bigint"), F.lit(length) - F.size(kept)), kept)
+    kept = lambda ids: F.slice(ids, F.greatest(F.size(ids) - length, F.lit(0)) + 1, length)
+    return let(_c(ids), lambda ids: F.concat(F.array_repeat(F.lit(pad).cast("bigint"), F.lit(length) - F.size(kept(ids))), kept(ids)))
 
 
 def attention_mask(n: Column | str, length: int) -> Column:
@@ -58,10 +60,9 @@ def noise(target: Column | str, vocabulary: int, pad: int, seed: int, *keys: Col
     target = _c(target)
 
     def made(t: Column) -> Column:
-        hit = lambda i: rng.uniform(seed, "m", *keys, i) < t
-        mask = F.transform(target, lambda x, i: (x >= 0) & hit(i))
-        ids = F.transform(target, lambda x, i: F.when(x < 0, F.lit(pad).cast("bigint")).when(hit(i), rng.below(vocabulary, seed, "v", *keys, i)).otherwise(x))
-        return F.struct(t.alias("noise_t"), mask.alias("mask"), ids.alias("ids"))
+        mask = F.transform(target, lambda x, i: (x >= 0) & (rng.uniform(seed, "m", *keys, i) < t))
+        replaced = lambda m: F.transform(target, lambda x, i: F.when(x < 0, F.lit(pad).cast("bigint")).when(F.get(m, i), rng.below(vocabulary, seed, "v", *keys, i)).otherwise(x))
+        return let(mask, lambda m: F.struct(t.alias("noise_t"), m.alias("mask"), replaced(m).alias("ids")))
 
     return let(F.lit(0.05) + F.lit(0.9) * rng.uniform(seed, "t", *keys), made)
 
