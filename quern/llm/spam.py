@@ -4,16 +4,20 @@ Per document, whole text:
 
 1. Lines that are records (log entries, table rows, file inventories, code, numbered references) are set aside as content.
 2. The rest is one stream of tokens: words, Han characters, links.
-3. Recurrence gaps: a content word that recurs within ``LAG`` tokens is stuffing; prose repeats its words further apart.
+3. Recurrence gaps: a content word, or a pair of Han content characters, that recurs within ``LAG`` tokens is stuffing; prose
+   repeats its words further apart.
 4. Lag windows of ``WINDOW`` tokens without function words are lists of nouns, tags or menu entries; links are list
    entries themselves.
 5. The share of stuffed and listed tokens decides.  Where it is undecided, positional autocorrelation does: the largest
-   agreement of the stream with itself at lags up to ``MAX_LAG`` shows repetition more regular than in prose.
+   agreement of the stream with itself at any lag shows repetition more regular than in prose.
+6. Whatever that share, a page is spam that says one phrase of any length ``REPEATS`` times or more: by the autocorrelation of
+   the stream, numbers included, or by sentences that return word for word.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +30,8 @@ from quern.llm.lexicon import FUNCTION_WORDS
 LAG, WINDOW, MAX_LAG = 9, 24, 32
 FEW = 1  # function words that a window may hold and still count as a list
 SPAM, DOUBT, PERIODIC = 0.5, 0.3, 0.5
+REPEATS = 4  # times that a phrase longer than MAX_LAG, or one without stuffing, is said; a passage pasted twice or three times is none
+SAME = 0.85  # agreement of a phrase's repetitions; entries of a glossary made alike differ in more
 LEAST_TOKENS = 6
 
 # Frequent Chinese function characters.
@@ -40,6 +46,8 @@ _HASHTAG = re.compile(r"#(?=\w)")
 _TOKEN = re.compile(r"[㐀-鿿]|[^\W\d_㐀-鿿]+|\x01")
 _TOKEN_ENDS = re.compile(r"[㐀-鿿]|[^\W\d_㐀-鿿]+|\x01|[.!?。！？](?=\s|$|[^\W\d_])")
 _FOREIGN = re.compile(r"[Ѐ-ӿ㐀-鿿]")
+_WORD = re.compile(r"[㐀-鿿]|[^\W_㐀-鿿]+")
+_SENTENCE = re.compile(r"[.!?](?=\s|$)|[。！？\n]")
 _BREAK = re.compile(r"<br\s*/?>|</?p>", re.I)
 _HUMP = re.compile(r"(?<=[a-zà-öø-ÿ])(?=[A-ZÀ-ÖØ-Þ])")
 _RECORD = re.compile(
@@ -49,10 +57,8 @@ _RECORD = re.compile(
 _RECORD_HINT = re.compile(r"[=|\[]|[0-9a-f]{16}|\.\w{2,5}\s+\d|:\n|^import|^from", re.M)
 
 
-def tokens(text: str) -> tuple[list[str], int]:
-    """The stream's tokens, lower-cased, and the number of tokens in record lines.
-
-    Where most letters are Cyrillic or Han, whose function words are rare or unsafe, sentence ends are tokens too."""
+def body(text: str) -> tuple[str, int]:
+    """The text without markup and record lines, lower-cased, links as one character each; and the number of tokens in record lines."""
     records = 0
     if "\xa0" in text:
         text = text.replace("\xa0", " ")
@@ -72,26 +78,68 @@ def tokens(text: str) -> tuple[list[str], int]:
         text = _TAG.sub(" ", text)
     if "#" in text and _HASHTAG.search(text):
         text = _HUMP.sub(" ", _HASHTAG.sub(" \x01 ", text))
-    text = text.lower()
-    if not text.isascii() and len(_FOREIGN.findall(text)) * 3 > len(text):
-        return _TOKEN_ENDS.findall(text), records
-    return _TOKEN.findall(text), records
+    return text.lower(), records
 
 
-def autocorrelation(ids: np.ndarray, content: np.ndarray, max_lag: int = MAX_LAG) -> float:
-    """Largest share of content positions that hold the same token at one lag of 1..max_lag."""
+def tokens(text: str) -> list[str]:
+    """The tokens of a body.  Where most letters are Cyrillic or Han, whose function words are rare or unsafe, sentence ends are tokens too."""
+    if not text.isascii() and len(_FOREIGN.findall(text)) * 3 > len(text):
+        return _TOKEN_ENDS.findall(text)
+    return _TOKEN.findall(text)
+
+
+def autocorrelation(ids: np.ndarray, content: np.ndarray, max_lag: int, least: float) -> float:
+    """Largest share of content positions that hold the same token at one lag of 1..max_lag; 0 if it is below ``least``.
+
+    With a random phase per token, the transform's autocorrelation at a lag is at least the equal pairs less the unequal
+    ones.  So a share of ``a`` shows as 2a - 1 or more under any phases, and the lags that fail this need no comparison."""
+    n = len(ids)
+    max_lag = min(max_lag, n - 1)
+    if max_lag < 1 or len(np.unique(ids[content])) > max_lag + (1 - least) * content.sum():
+        return 0.0
+    lags = np.arange(1, max_lag + 1)
+    have = content.sum() - np.cumsum(content)[:max_lag]  # content positions that have a position ``lag`` before them
+    ok = have > 0
+    if max_lag > MAX_LAG:
+        rng = np.random.default_rng(7)
+        size = 1 << int(n + max_lag).bit_length()
+        for _ in range(8):
+            x = np.where(content, np.exp(2j * np.pi * rng.random(int(ids.max()) + 1))[ids], 0)
+            est = np.fft.ifft(np.abs(np.fft.fft(x, size)) ** 2).real[1 : max_lag + 1]
+            ok &= est >= (2 * least - 1) * have - 1e-6 * n
+            if ok.sum() <= 8:
+                break
     best = 0.0
-    for lag in range(1, min(max_lag, len(ids) // 2) + 1):
+    for lag in lags[ok]:
         m = content[lag:]
-        n = m.sum()
-        if n:
-            best = max(best, float(((ids[lag:] == ids[:-lag]) & m).sum() / n))
-    return best
+        best = max(best, float(((ids[lag:] == ids[:-lag]) & m).sum() / m.sum()))
+    return best if best >= least else 0.0
 
 
-def profile(text: str) -> tuple[int, float, float]:
-    """(tokens, share of stuffed or listed tokens among all, autocorrelation or -1 where it wasn't needed)."""
-    toks, records = tokens(text)
+def _numbered(toks: list[str]) -> np.ndarray:
+    names: dict[str, int] = {}
+    return np.array([names.setdefault(t, len(names)) for t in toks], np.int64)
+
+
+def repeated(text: str, records: int) -> bool:
+    """Whether most of the text, record lines counted as content, says one phrase or some sentences ``REPEATS`` times or more."""
+    toks = _WORD.findall(text)
+    n, distinct = len(toks), set(toks)
+    if n < 3 * REPEATS or n <= records:
+        return False
+    if len(distinct) <= (1 - SPAM + SPAM / REPEATS) * n:  # else no such sentences fit
+        times = Counter(tuple(_WORD.findall(x)) for x in _SENTENCE.split(text))
+        if sum(len(x) * k for x, k in times.items() if k >= REPEATS and len(x) >= 3) >= SPAM * (n + records):
+            return True
+    content = [t not in _FUNCTION for t in toks]
+    if len(distinct - _FUNCTION) > n // REPEATS + (1 - SAME) * sum(content):  # no such lag then, see autocorrelation
+        return False
+    return autocorrelation(_numbered(toks), np.array(content), n // REPEATS, SAME) >= SAME
+
+
+def profile(text: str, records: int) -> tuple[int, float, float]:
+    """(tokens, share of stuffed or listed tokens among all, autocorrelation or -1 where the share decides) of a body."""
+    toks = tokens(text)
     n = len(toks)
     if n < LEAST_TOKENS:
         links = sum(t == _LINK for t in toks)
@@ -107,16 +155,22 @@ def profile(text: str) -> tuple[int, float, float]:
             hits.append(i)
             continue
         p = last.get(t, -99)
-        if i - p <= LAG and not "㐀" <= t <= "鿿":
+        last[t] = i
+        if "㐀" <= t <= "鿿":  # one character says little, two are a word
+            if i and not flags[i - 1] and "㐀" <= toks[i - 1] <= "鿿":
+                p = last.get(toks[i - 1] + t, -99)
+                last[toks[i - 1] + t] = i
+                if i - p <= LAG:
+                    hits += (i - 1, i, p - 1, p)
+        elif i - p <= LAG:
             hits.append(i)
             hits.append(p)
-        last[t] = i
     spam[hits] = True
     function = np.array(flags)
     # lag windows with hardly a function word
     w = min(WINDOW, n)
     c = np.concatenate([[0], np.cumsum(function)])
-    few = FEW if w == WINDOW and not _ENDS.intersection(toks) and not any("㐀" <= t <= "鿿" for t in last) else 0
+    few = FEW if w == WINDOW and not _ENDS.intersection(toks) and not any("㐀" <= t <= "鿿" for t in toks) else 0
     bare = (c[w:] - c[:-w]) <= few
     if bare.any():
         cover = np.zeros(n + 1, np.int64)
@@ -128,16 +182,16 @@ def profile(text: str) -> tuple[int, float, float]:
     share = float(spam[~function].sum() + (spam & function).sum()) / max(1, (~function).sum() + (spam & function).sum() + records)
     auto = -1.0
     if DOUBT <= share < SPAM:
-        names: dict[str, int] = {}
-        auto = autocorrelation(np.array([names.setdefault(t, len(names)) for t in toks]), ~function)
+        auto = autocorrelation(_numbered(toks), ~function, max(min(MAX_LAG, n // 2), n // REPEATS), PERIODIC)
     return n + records, share, auto
 
 
 def is_spam(text: str | None) -> bool:
     if not text:
         return False
-    _, share, auto = profile(text)
-    return share >= SPAM or (share >= DOUBT and auto >= PERIODIC)
+    stream, records = body(text)
+    _, share, auto = profile(stream, records)
+    return share >= SPAM or (share >= DOUBT and auto >= PERIODIC) or repeated(stream, records)
 
 
 def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -38,3 +38,25 @@ def test_query_gives_each_document_once(spark):
     df = spark.createDataFrame([(1, bad, "x"), (2, PROSE, "x"), (3, None, "x"), (None, bad, "x"), (1, bad, "y"), (4, bad * 3000, "y")], "doc_id bigint, text string, n string")
     assert sorted(r["doc_id"] for r in S.find_spam(df).collect()) == [1, 4]
     assert S.find_spam(df.limit(0)).count() == 0
+
+
+SALES = "Buy cheap running shoes online at our store today with free shipping and the best price"
+
+
+@pytest.mark.parametrize("text", [
+    (SALES + ". ") * 20, (SALES + " ") * 5, "".join(SALES.replace("today", city) + ". " for city in ("Bern", "Rome", "Oslo", "Riga", "Cork", "Lyon")), PROSE + (SALES + ".\n") * 6,
+    (" ".join(f"word{chr(97 + k // 26)}{chr(97 + k % 26)} of the" for k in range(100)) + " ") * 5, "我们商店今天有便宜的跑鞋，免费送货，价格最好。" * 8, "便宜跑鞋的店有便宜跑鞋，买便宜跑鞋到便宜跑鞋店。",
+])
+def test_repeated_sales_phrases_are_spam_whatever_the_gaps(text):
+    assert S.is_spam(text)
+
+
+def test_autocorrelation_equals_brute_force():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for n, period, noise in ((40, 7, 0.1), (300, 60, 0.3), (500, 120, 0.2), (400, 0, 0)):
+        ids = rng.integers(0, 90, n) if not period else np.where(rng.random(n) < noise, rng.integers(0, 90, n), np.resize(rng.integers(0, 90, period), n))
+        content = ids % 5 != 0
+        want = max(float(((ids[k:] == ids[:-k]) & content[k:]).sum() / content[k:].sum()) for k in range(1, n // 2 + 1))
+        assert S.autocorrelation(ids, content, n // 2, 0.5) == (want if want >= 0.5 else 0.0)
