@@ -79,7 +79,9 @@ def _features(size: int, perms: int):
 
 
 def _block_pairs(least: float):
-    """Pairs of one block pair whose signatures agree often enough.  Texts that certainly link are joined by a spanning tree, not by all pairs."""
+    """Pairs of one block pair whose signatures agree often enough.  Texts that certainly link are joined by a spanning tree, not by
+    all pairs: such a pair is left out only where pairs that were compared and certainly link already join its two texts."""
+    certain = least + 0.4
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         first, second = pdf["block"].min(), pdf["block"].max()
@@ -87,18 +89,20 @@ def _block_pairs(least: float):
         sx, sy = np.stack(x["sig"].to_numpy()), np.stack(y["sig"].to_numpy())
         ix, iy = x["text_id"].to_numpy(), y["text_id"].to_numpy()
         out: list[tuple[int, int]] = []
-        sure = np.full(len(iy), -1)
+        nodes, at = np.unique(np.concatenate([ix, iy]), return_inverse=True)
+        ax, ay = at[: len(ix)], at[len(ix) :]
+        tree = np.arange(len(nodes))  # per text the tree that holds it
         for k in range(len(ix)):
             s = (sx[k][None, :] == sy).mean(axis=1)
             s[iy == ix[k]] = 0
-            hits = np.flatnonzero((s >= least) & ((sure < 0) | (s < least + 0.4)))
+            hits = np.flatnonzero((s >= least) & (s < certain)).tolist()
+            sure = np.flatnonzero(s >= certain)
+            trees, one = np.unique(tree[ay[sure]], return_index=True)
+            new = trees != tree[ax[k]]
+            hits += sure[one[new]].tolist()  # one compared pair per tree that x_k joins
+            tree[np.isin(tree, trees[new])] = tree[ax[k]]
             for j in hits:
                 out.append((min(ix[k], iy[j]), max(ix[k], iy[j])))
-            new = (s >= least + 0.4) & (sure < 0)
-            sure[new] = k
-            for j in np.unique(sure[(s >= least + 0.4) & ~new]):
-                if j >= 0 and ix[j] != ix[k]:
-                    out.append((min(ix[k], ix[j]), max(ix[k], ix[j])))
         return pd.DataFrame(sorted(set(out)), columns=["a", "b"])
 
     return run

@@ -1,6 +1,8 @@
 import itertools
 import random
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from quern.llm import neardup as N
@@ -61,6 +63,29 @@ def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
     assert pairs(spark, texts, shingle=3, threshold=0.5) == brute(texts, 3, 0.5)
 
 
+def test_blocks_keep_compared_pairs_of_texts_cut_from_both_ends():
+    words = [f"w{k}" for k in range(102)]
+    texts = [words[:-27], words[27:], words]
+    sets = [set(zip(t, t[1:], t[2:])) for t in texts]
+    assert [round(len(sets[a] & sets[b]) / len(sets[a] | sets[b]), 2) for a, b in ((0, 2), (1, 2), (0, 1))] == [0.73, 0.73, 0.46]
+    sig = np.zeros((3, 126), np.int32)  # of just these similarities
+    sig[0, :34], sig[1, -34:] = 1, 2
+    for blocks in ([0, 0, 1], [1, 1, 0], [0, 0, 0], [0, 1, 0]):
+        df = pd.DataFrame({"block": blocks, "text_id": [5, 6, 7], "sig": list(sig)})
+        got = set(map(tuple, N._block_pairs(0.322)(df).to_numpy().tolist()))
+        want = {(a + 5, b + 5) for a, b in ((0, 2), (1, 2)) if blocks[a] != blocks[b] or not any(blocks)}
+        assert want <= got and all(blocks[a - 5] != blocks[b - 5] or not any(blocks) for a, b in got)
+
+
+def test_blocks_join_what_certainly_links_by_few_pairs():
+    rnd = np.random.default_rng(2)
+    base = rnd.integers(0, 9, (4, 126))
+    sig = np.where(rnd.random((120, 126)) < 0.04, -1 - np.arange(120)[:, None], base[np.arange(120) % 4]).astype(np.int32)
+    df = pd.DataFrame({"block": np.arange(120) // 60, "text_id": np.arange(120), "sig": list(sig)})
+    got = N._block_pairs(0.322)(df)
+    assert len(got) == 116 and (got["a"] % 4 == got["b"] % 4).all() and (got["a"] // 60 != got["b"] // 60).all()
+
+
 def test_every_record_has_a_class(spark):
     texts = corpus(4)
     df = spark.createDataFrame(list(texts.items()), "id string, t string")
