@@ -24,6 +24,7 @@ from quern.llm.language import detect, requested, scores
 from quern.llm.lexicon import COURTESY, LABEL, PLACEHOLDERS, REFUSAL, REFUSAL_KEYS
 
 COPY_RATIO = 0.75  # bytes with the prompt as dictionary over bytes without, below which a copy is looked for
+REPETITIVE = 0.35  # compressed bytes over bytes of a text that repeats itself
 COPY_SHARE = 0.6  # share of the response's word pairs that the prompt holds
 COPY_COVER = 0.55  # share of the prompt's word pairs that the response holds
 
@@ -40,8 +41,6 @@ def is_empty(text: str | None) -> bool:
     """Null, blank, invisible, placeholder, bare markup or a bare label."""
     if text is None:
         return True
-    if len(text) > 400:
-        return not any(c.isalnum() for c in text)
     bare = html.unescape(_TAG.sub(" ", text)).strip()
     if not any(c.isalnum() for c in bare):
         return True
@@ -66,14 +65,14 @@ def _plain() -> zstandard.ZstdCompressor:
 
 
 def is_copy(prompt: str | None, text: str) -> bool:
-    """The text only gives the prompt back, whole or nearly so.  A text more than three times as long as the prompt
-    has room for an answer and is no copy unless it only repeats the prompt."""
+    """The text only gives the prompt back, whole or nearly so, once or again and again.  Where a text repeats itself, its
+    own repetitions compress as well as the prompt does, so its words are compared in any case."""
     if not prompt or not text:
         return False
-    if len(text) > 8 * len(prompt) + 400 or len(text) * 4 < len(prompt):
+    if len(text) * 4 < len(prompt):
         return False
     p, t = prompt.lower(), text.lower()
-    if compression_ratio(p, t) > COPY_RATIO and compression_ratio(" ".join(_WORD.findall(p)), " ".join(_WORD.findall(t))) > COPY_RATIO:
+    if compression_ratio(p, t) > COPY_RATIO and compression_ratio(" ".join(_WORD.findall(p)), " ".join(_WORD.findall(t))) > COPY_RATIO and not _repeats_itself(t):
         return False
     units = _units
     wp, wt = units(p), units(t)
@@ -92,6 +91,11 @@ def is_copy(prompt: str | None, text: str) -> bool:
     return False
 
 
+def _repeats_itself(text: str) -> bool:
+    data = text.encode("utf-8", "surrogatepass")
+    return len(_plain().compress(data)) < REPETITIVE * len(data)
+
+
 def _units(s: str) -> list[str]:
     """Words; Han characters one by one."""
     if s.isascii():
@@ -112,8 +116,6 @@ def is_refusal(text: str) -> bool:
     """The text declines, and sentences that neither decline nor are courtesies make up less than half of it.
 
     A quoted refusal doesn't count, nor a remark on limits that real content follows."""
-    if len(text) > 1200:
-        return False
     bare = text.replace("’", "'").lower()
     if not any(k in bare for k in REFUSAL_KEYS):
         return False
