@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.text import build_prompt, chat_content, estimate_tokens
@@ -13,10 +13,15 @@ from quern.sources.writers import append_records
 from quern.storage import stored
 
 
+def usable() -> Column:
+    """Whether a prompt record can be asked and found again: it has an id, and a prompt or context."""
+    return F.col("id").isNotNull() & build_prompt("prompt_text", "context_text", strict=False).isNotNull()
+
+
 def generate_records(prompts: DataFrame, config: TeacherConfig, done: DataFrame | None = None, make=make_client) -> DataFrame:
     """Teacher records for the prompt records that aren't done, by key and not by place, so order and partitions don't matter."""
     todo = resume(prompts, done) if done is not None else prompts
-    todo = todo.where(build_prompt("prompt_text", "context_text", strict=False).isNotNull()).withColumn("prompt", build_prompt("prompt_text", "context_text"))
+    todo = todo.where(usable()).withColumn("prompt", build_prompt("prompt_text", "context_text"))
     content = F.when(F.coalesce(media_count("media"), F.lit(0)) > 0, chat_content("prompt", "media"))
     texts = generated(todo.withColumn("content", content), config, make)
     return todo.join(texts, "id").select(
@@ -25,22 +30,33 @@ def generate_records(prompts: DataFrame, config: TeacherConfig, done: DataFrame
     )
 
 
+def _written(spark: SparkSession, path: str | None) -> DataFrame | None:
+    """The records at ``path``; None where nothing was written yet."""
+    try:
+        found = spark.read.json(path) if path else None
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
+    return found if found is not None and "id" in found.columns else None
+
+
 def run(prompts: DataFrame, config: TeacherConfig, output: str, order: list[str], target_tokens: int = 0, chunk: int = 10_000, quarantine: str | None = None, make=make_client) -> int:
     """Generate in chunks of ``chunk`` prompts in ``order`` until ``target_tokens`` estimated tokens are written, those of earlier runs
-    included; 0 is no limit.  Requests are costly, so no more than a chunk is asked beyond the budget; the record that crosses it is kept."""
+    included; 0 is no limit.  Requests are costly, so no more than a chunk is asked beyond the budget; the record that crosses it is kept.
+    Prompts that can't be asked take no room in a chunk, those in ``quarantine`` are not asked again, and without a budget the end is
+    when no other prompt is left."""
     spark, written = prompts.sparkSession, 0
+    prompts = prompts.where(usable())
     while True:
-        try:
-            done = spark.read.json(output)
-            done = done if "id" in done.columns else None
-        except Exception as e:  # nothing was written yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            done = None
+        done = _written(spark, output)
         spent = done.agg(F.coalesce(F.sum("estimated_tokens"), F.lit(0))).first()[0] if done is not None else 0
         if target_tokens and spent >= target_tokens:
             return written
-        todo = (resume(prompts, done) if done is not None else prompts).orderBy(*order).limit(chunk)
+        todo = prompts
+        for x in (done, _written(spark, quarantine)):
+            todo = resume(todo, x) if x is not None else todo
+        todo = todo.orderBy(*order).limit(chunk)
         made = stored(generate_records(todo, config, make=make))
         n = made.count()
         if not n:

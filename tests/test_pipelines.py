@@ -26,6 +26,36 @@ def test_generation_resumes_and_stops_at_the_budget(spark, tmp_path):
     assert got.count() == 30 == got.select("id").distinct().count()
 
 
+def test_generation_passes_prompts_that_cannot_be_asked(spark, tmp_path):
+    out, config = str(tmp_path / "out"), clients.TeacherConfig(runtime="offline", model="m")
+    df = prompt_rows(spark, 30)
+    first = F.col("id") < "r012"
+    df = df.withColumn("prompt_text", F.when(first, F.lit(" ")).otherwise(F.col("prompt_text"))).withColumn("media", F.when(F.col("id") < "r003", F.create_map(F.lit("images"), F.array(F.lit("a.png")))))
+    df = df.unionByName(df.where("id = 'r020'").withColumn("id", F.lit(None).cast("string")))
+    assert teacher.run(df, config, out, ["id"], chunk=5) == 18
+    assert {r["id"] for r in spark.read.json(out).collect()} == {f"r{i:03d}" for i in range(12, 30)}
+
+
+def test_generation_ends_when_only_quarantined_prompts_are_left(spark, tmp_path):
+    out, bad, config = str(tmp_path / "out"), str(tmp_path / "bad"), clients.TeacherConfig(runtime="offline", model="m")
+    asked = []
+
+    class Silent(clients.Offline):
+        def generate(self, prompt, content=None):
+            return "" if prompt[-1] in "05" else super().generate(prompt, content)
+
+    def append(*a):
+        asked.append(1)
+        assert len(asked) <= 10, "the same prompts are asked again and again"
+        writers.append_records(*a)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(teacher, "append_records", append)
+        teacher.run(prompt_rows(spark, 20), config, out, ["id"], chunk=3, quarantine=bad, make=Silent)
+    assert spark.read.json(out).count() == 16
+    assert sorted(r["id"] for r in spark.read.json(bad).collect()) == ["r000", "r005", "r010", "r015"]
+
+
 def test_clients():
     calls = []
 
