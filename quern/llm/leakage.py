@@ -4,7 +4,8 @@
    word is what stands between blanks, lower-cased, without accents, punctuation, quoting marks and markup.
 2. Document frequencies of the items' words are counted over all documents (one distributed pass).
 3. Latent space: randomised SVD of the items' TF-IDF rows, computed by partial products over the row partitions.  The rank is
-   raised until every row keeps ``KEEP`` of its length, so no item is lost in a dimension that was left out.
+   raised until every row keeps ``KEEP`` of its length, and what it lost can take at most ``LOST`` of what step 4 needs; that is
+   taken off each item's need, so no item is lost in a dimension that was left out.
 4. Cosine search: every run of 12 (and 16) words of every document is a query window.  Its dot product with each item in the
    latent space must reach what the item's weakest run of that length keeps when one (two) words are altered.  A bound
    that needs only prefix sums drops most windows first; it drops no window that could pass.
@@ -32,7 +33,8 @@ SPAN, LONG_SPAN = 12, 16  # words; one and two of them may be altered
 BLOCK = 400
 RANK, ROWS = 512, 2_000  # the rank to begin with, and the items' rows per task
 KEEP = 0.999
-SLACK = 0.97  # of the bound, for what the latent space and single precision lose
+LOST = 0.1  # of an item's need, at most, for what the latent space loses
+SLACK = 0.97  # of the bound, for what single precision loses
 SEED = 5  # words in a row that any allowed match has unaltered
 
 _TAG = re.compile(r"</?[a-zA-Z][^<>]{0,300}>|<!--.*?-->", re.S)
@@ -194,13 +196,6 @@ def _model(documents: DataFrame, texts: list[tuple[int, str, list[str]]]) -> dic
     dense = np.zeros((len(rows), len(vocabulary)))
     for k, (t, w) in enumerate(rows):
         dense[k, t] = w
-    rank = min(RANK, len(rows), len(vocabulary))
-    while True:
-        basis = randomised_svd(frame, len(vocabulary), rank)
-        inside = dense @ basis
-        if rank >= min(len(rows), len(vocabulary)) or np.linalg.norm(inside, axis=1).min() >= KEEP:
-            break
-        rank = min(2 * rank, len(rows), len(vocabulary))
     energy = idf * idf
 
     def weakest(t: list[str], span: int, altered: int) -> float:
@@ -210,9 +205,27 @@ def _model(documents: DataFrame, texts: list[tuple[int, str, list[str]]]) -> dic
         win = np.sort(np.lib.stride_tricks.sliding_window_view(e, span), axis=1)
         return float(win[:, : span - altered].sum(axis=1).min())
 
-    norms = np.array([np.linalg.norm(idf[list(c := Counter(at[w] for w in t))] * np.array(list(c.values()))) for _, _, t in texts])
-    floor = np.array([[weakest(t, SPAN, 1), weakest(t, LONG_SPAN, 2)] for _, _, t in texts])
-    need = floor / norms[:, None] * SLACK
+    def length(t: list[str]) -> float:
+        return float(np.linalg.norm(idf[list(c := Counter(at[w] for w in t))] * np.array(list(c.values()))))
+
+    def longest(t: list[str], span: int, altered: int) -> float:
+        """Length at most of a window's vector that holds an allowed match: words of a run of the item, and altered words."""
+        run = span + altered
+        return max(length(t[k : k + run]) for k in range(max(1, len(t) - run + 1))) + altered * float(idf.max())
+
+    spans = ((SPAN, 1), (LONG_SPAN, 2))
+    norms = np.array([length(t) for _, _, t in texts])
+    floor = np.array([[weakest(t, *s) for s in spans] for _, _, t in texts]) / norms[:, None]
+    widest = np.array([[longest(t, *s) for s in spans] for _, _, t in texts])
+    rank = min(RANK, len(rows), len(vocabulary))
+    while True:
+        basis = randomised_svd(frame, len(vocabulary), rank)
+        inside = dense @ basis
+        lost = np.linalg.norm(dense - inside @ basis.T, axis=1)[:, None] * widest
+        if rank >= min(len(rows), len(vocabulary)) or (np.linalg.norm(inside, axis=1).min() >= KEEP and (lost <= LOST * floor).all()):
+            break
+        rank = min(2 * rank, len(rows), len(vocabulary))
+    need = (floor - lost) * SLACK
     # part of a window's dot product with each item that one word brings, and as share of what the item needs at most
     scores = (idf[:, None] * (basis @ inside.T)).astype(np.float32)
     most = np.stack([np.maximum((scores / need[:, k]).max(axis=1), 0) for k in range(2)], axis=1)

@@ -63,6 +63,22 @@ def test_leaks_equal_brute_force(spark):
     assert L.find_leaks(df.limit(0), it).count() == 0 and L.find_leaks(df, it.limit(0)).count() == 0
 
 
+def test_no_allowed_match_is_below_the_bound_at_low_rank(spark, monkeypatch):
+    monkeypatch.setattr(L, "RANK", 16)
+    monkeypatch.setattr(L, "KEEP", 0.5)
+    rnd = random.Random(3)
+    texts = [(k, "passage", sentence(rnd, 60).split()) for k in range(64)]
+    df = spark.createDataFrame([(k, " ".join(t[2])) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    m = L._model(df, texts)
+    missed = 0
+    for q, (_, _, t) in enumerate(texts):
+        for k in range(len(t) - L.SPAN + 1):
+            w = t[k : k + L.SPAN]
+            w[1 + k % (L.SPAN - 2)] = "zzz"
+            missed += q not in L._candidates(w, m)[0]
+    assert missed == 0
+
+
 def test_items_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(L, "BLOCK", 2)
     rnd = random.Random(1)
