@@ -2,15 +2,17 @@
 
 1. The items' texts (passage; question without an instruction sentence that other items share) become word lists.  A
    word is what stands between blanks, lower-cased, without accents, punctuation, quoting marks and markup.
-2. Document frequencies of the items' words are counted over all documents (one distributed pass).
-3. Latent space: randomised SVD of the items' TF-IDF rows, computed by partial products over the row partitions.  The rank is
+2. Document frequencies of all items' words are counted over all documents (one distributed pass).
+3. Latent space: randomised SVD of the items' TF-IDF rows (a word counts once per text), computed by partial products over the row partitions.  The rank is
    raised until every row keeps ``KEEP`` of its length, and what it lost can take at most ``LOST`` of what step 4 needs; that is
    taken off each item's need, so no item is lost in a dimension that was left out.
 4. Cosine search: every run of 12 (and 16) words of every document is a query window.  Its dot product with each item in the
    latent space must reach what the item's weakest run of that length keeps when one (two) words are altered.  A bound
    that needs only prefix sums drops most windows first; it drops no window that could pass.
-5. Candidates are verified by a longest common subsequence with at most one altered word in eight, over at least 12 words;
-   that and the answer's presence are reported.
+5. Candidates are verified by a longest common subsequence with at most one altered word in eight, over at least 12 words.
+6. An altered run must lie nearer to its item than to any text with other content in the latent space, by ``MARGIN``: items are
+   written with shared phrasing, and a run of it around another item's names and numbers is that item's, or nobody's.
+   The answer's presence is reported.
 
 The items are a stated query set: they are processed in blocks of ``BLOCK`` items against all documents.
 """
@@ -26,15 +28,20 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.llm.common import stored
+
 SPAN, LONG_SPAN = 12, 16  # words; one and two of them may be altered
 BLOCK = 400
 RANK, ROWS = 512, 2_000  # the rank to begin with, and the items' rows per task
 KEEP = 0.999
 LOST = 0.1  # of an item's need, at most, for what the latent space loses
 SLACK = 0.97  # of the bound, for what single precision loses
+MARGIN = 1.25  # how much nearer an altered run must be to its item than to a text with other content
+MAX_ITEMS = 200_000
 SEED = 5  # words in a row that any allowed match has unaltered
 
 _TAG = re.compile(r"</?[a-zA-Z][^<>]{0,300}>|<!--.*?-->", re.S)
@@ -125,26 +132,30 @@ def randomised_svd(rows: DataFrame, n_terms: int, rank: int, power: int = 2, see
     return q
 
 
-def _matches(doc: list[str], item: list[str], i: int, j: int) -> bool:
-    """Whether the unaltered run at ``item[i]``, ``doc[j]`` extends to 12 words with one alteration or 16 with two."""
+def _matches(doc: list[str], item: list[str], i: int, j: int) -> tuple[bool, list[tuple[int, int]]]:
+    """Whether the unaltered run at ``item[i]``, ``doc[j]`` is 12 words long; else its extents in ``doc`` with 12 words and one alteration,
+    or 16 and two."""
     m, n = len(item), len(doc)
 
-    def reach(i: int, j: int, step: int, left: int) -> list[int]:
-        """Most item words passed from (i, j) in direction ``step`` with 0..left alterations."""
+    def reach(i: int, j: int, step: int, left: int) -> list[tuple[int, int]]:
+        """Most item words, and document words with them, passed from (i, j) in direction ``step`` with 0..left alterations."""
         k = 0
         while 0 <= i < m and 0 <= j < n and item[i] == doc[j]:
             i, j, k = i + step, j + step, k + 1
-        out = [k] * (left + 1)
+        out = [(k, k)] * (left + 1)
         if left and 0 <= i < m:
             for di, dj in ((1, 1), (1, 0), (0, 1)):
                 if 0 <= j < n or not dj:
-                    for e, v in enumerate(reach(i + di * step, j + dj * step, step, left - 1), 1):
+                    for e, (v, u) in enumerate(reach(i + di * step, j + dj * step, step, left - 1), 1):
                         if v:  # an alteration counts within a match, not at its end
-                            out[e] = max(out[e], k + di + v)
+                            out[e] = max(out[e], (k + di + v, k + dj + u))
         return out
 
     right, left = reach(i, j, 1, 2), reach(i - 1, j - 1, -1, 2)
-    return max(left[0] + right[1], left[1] + right[0]) >= SPAN or max(left[0] + right[2], left[1] + right[1], left[2] + right[0]) >= LONG_SPAN
+    if left[0][0] + right[0][0] >= SPAN:
+        return True, []
+    pairs = ((0, 1, SPAN), (1, 0, SPAN), (0, 2, LONG_SPAN), (1, 1, LONG_SPAN), (2, 0, LONG_SPAN))
+    return False, [(j - left[x][1], j + right[y][1]) for x, y, least in pairs if left[x][0] + right[y][0] >= least]
 
 
 def aligned(doc: list[str], item: list[str]) -> bool:
@@ -163,35 +174,39 @@ def seeds(items: list[list[str]]) -> dict[tuple, list[tuple[int, int]]]:
     return at
 
 
-def verified(doc: list[str], candidates: set[int], where: Iterable[int], at: dict[tuple, list[tuple[int, int]]], items: list[list[str]]) -> set[int]:
-    """The candidates that the document holds.  ``where``: positions, ascending, at which unaltered runs may start; a run is tried at its first seed."""
-    out: set[int] = set()
+def verified(doc: list[str], candidates: set[int], where: Iterable[int], at: dict[tuple, list[tuple[int, int]]], items: list[list[str]]) -> dict[int, list[tuple[int, int]]]:
+    """The candidates that the document holds: with no extents where a run of 12 words is unaltered, else with those of all altered matches.
+    ``where``: positions, ascending, at which unaltered runs may start; a run is tried at its first seed."""
+    whole: set[int] = set()
+    altered: dict[int, set[tuple[int, int]]] = {}
     tried: set[tuple[int, int]] = set()
     for j in where:
         for q, i in at.get(tuple(doc[j : j + SEED]), ()):
-            if q not in candidates or q in out:
+            if q not in candidates or q in whole:
                 continue
             diagonal = (q, i - j)
             if diagonal in tried and i and j and doc[j - 1] == items[q][i - 1]:
                 continue
             tried.add(diagonal)
-            if _matches(doc, items[q], i, j):
-                out.add(q)
-    return out
+            exact, extents = _matches(doc, items[q], i, j)
+            if exact:
+                whole.add(q)
+            elif extents:
+                altered.setdefault(q, set()).update(extents)
+    return {q: [] for q in whole} | {q: sorted(x) for q, x in altered.items() if q not in whole}
 
 
-def _model(documents: DataFrame, texts: list[tuple[int, str, list[str]]]) -> dict:
-    """Word weights, the items' vectors projected to the latent space, and the thresholds of one block of items."""
-    spark = documents.sparkSession
+def _model(spark: SparkSession, texts: list[tuple[int, str, list[str]]], n_docs: int, df: dict[str, int]) -> dict:
+    """Word weights, the items' vectors projected to the latent space, and the thresholds of one block of items.  A word counts once per item text."""
     vocabulary = sorted({w for _, _, t in texts for w in t})
-    n_docs, df = document_frequencies(documents, set(vocabulary))
     at = {w: k for k, w in enumerate(vocabulary)}
     idf = np.log((n_docs + 1) / (np.array([df.get(w, 0) for w in vocabulary]) + 1)) + 0.1
-    rows = []
+    rows, norms = [], []
     for _, _, t in texts:
-        c = Counter(at[w] for w in t)
-        v = idf[list(c)] * np.array(list(c.values()))
-        rows.append((list(c), (v / np.linalg.norm(v)).tolist()))
+        c = sorted({at[w] for w in t})
+        norms.append(float(np.linalg.norm(idf[c])))
+        rows.append((c, (idf[c] / norms[-1]).tolist()))
+    norms = np.array(norms)
     frame = spark.createDataFrame(rows, "terms array<int>, weights array<double>").repartition(-(-len(rows) // ROWS))
     dense = np.zeros((len(rows), len(vocabulary)))
     for k, (t, w) in enumerate(rows):
@@ -214,7 +229,6 @@ def _model(documents: DataFrame, texts: list[tuple[int, str, list[str]]]) -> dic
         return max(length(t[k : k + run]) for k in range(max(1, len(t) - run + 1))) + altered * float(idf.max())
 
     spans = ((SPAN, 1), (LONG_SPAN, 2))
-    norms = np.array([length(t) for _, _, t in texts])
     floor = np.array([[weakest(t, *s) for s in spans] for _, _, t in texts]) / norms[:, None]
     widest = np.array([[longest(t, *s) for s in spans] for _, _, t in texts])
     rank = min(RANK, len(rows), len(vocabulary))
@@ -229,7 +243,13 @@ def _model(documents: DataFrame, texts: list[tuple[int, str, list[str]]]) -> dic
     # part of a window's dot product with each item that one word brings, and as share of what the item needs at most
     scores = (idf[:, None] * (basis @ inside.T)).astype(np.float32)
     most = np.stack([np.maximum((scores / need[:, k]).max(axis=1), 0) for k in range(2)], axis=1)
-    return {"at": at, "scores": scores, "need": need.astype(np.float32), "most": most}
+    return {"at": at, "scores": scores, "need": need.astype(np.float32), "most": most, "norms": norms.astype(np.float32)}
+
+
+def _nearness(words: list[str], m: dict) -> np.ndarray:
+    """The latent dot product of a run of words with each item text, in the weights of the words that they share."""
+    ids = [k for w in words if (k := m["at"].get(w)) is not None]
+    return m["scores"][ids].sum(axis=0) * m["norms"]
 
 
 def _candidates(words: list[str], m: dict) -> tuple[set[int], list[int]]:
@@ -270,25 +290,60 @@ def _candidates(words: list[str], m: dict) -> tuple[set[int], list[int]]:
     return found, np.flatnonzero(begin).tolist()
 
 
+def _contents(texts: list[tuple[int, str, list[str]]]) -> list[int]:
+    """Per text a number that the texts of one item, and of items with the same content, share."""
+    of: dict[int, list[tuple]] = {}
+    for i, part, t in texts:
+        of.setdefault(i, []).append((part, *t))
+    numbers: dict[tuple, int] = {}
+    number = {i: numbers.setdefault(tuple(x), len(numbers)) for i, x in of.items()}
+    return [number[i] for i, _, _ in texts]
+
+
+def _distinct(found: DataFrame, m: Broadcast, content: np.ndarray) -> DataFrame:
+    """Rows whose run of words is unaltered, or nearer to their item than to any text of a block with other content, by ``MARGIN``."""
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = m.value[0]
+        for b in batches:
+            keep = []
+            for own, score, run in zip(*(b.column(k).to_pylist() for k in ("content", "score", "run"))):
+                other = _nearness(run.split(" "), model)[content != own] if run is not None else ()
+                keep.append(len(other) == 0 or score >= MARGIN * float(other.max()))
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return found.mapInArrow(judge, found.schema)
+
+
 def find_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, part, has_answer): documents that hold at least twelve words in a row of an item's passage or question,
     at most one in eight of them altered.
 
-    One narrow pass over the documents per block of items; a document's pairs are complete, without a cap.  Null ids and texts
-    give no row; items shorter than twelve words can't leak by this definition; items with equal content each give a row.
+    One narrow pass over the documents for the words' frequencies and one per block of items; a document's pairs are complete, without a
+    cap.  An altered run counts where it is nearer to the item, in the latent space, than to any text with other content: phrasing that items
+    share, with another item's names in it, is no leak.  Null ids and texts give no row; items shorter than twelve words can't leak by
+    this definition; items with equal content each give a row.  More than ``MAX_ITEMS`` items are an error.
     """
     spark = documents.sparkSession
     docs = documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    rows = sorted((r["item_id"], r["passage"], r["question"], r["answer"]) for r in items.where("item_id is not null").select("item_id", "passage", "question", "answer").distinct().collect())
+    rows = items.where("item_id is not null").select("item_id", "passage", "question", "answer").distinct().limit(MAX_ITEMS + 1).collect()
+    if len(rows) > MAX_ITEMS:
+        raise ValueError(f"more than {MAX_ITEMS} items")
+    rows = sorted(((r["item_id"], r["passage"], r["question"], r["answer"]) for r in rows), key=lambda r: (r[0], *(x or "" for x in r[1:])))
     every = item_texts([r[:3] for r in rows])
-    answers = {r[0]: fold(r[3] or "") for r in rows}
     schema = "doc_id bigint, item_id bigint, part string, has_answer boolean"
-    out = None
+    if not every:
+        return spark.createDataFrame([], schema)
+    answers = {r[0]: fold(r[3] or "") for r in rows}
+    contents = _contents(every)
+    frequency = document_frequencies(docs, {w for _, _, t in every for w in t})
+    out, blocks = None, []
     for k in range(0, len(every), 2 * BLOCK):
-        texts = every[k : k + 2 * BLOCK]
-        model = spark.sparkContext.broadcast((_model(docs, texts), texts, answers))  # bounded by BLOCK items
+        texts, own = every[k : k + 2 * BLOCK], np.array(contents[k : k + 2 * BLOCK])
+        model = spark.sparkContext.broadcast((_model(spark, texts, *frequency), texts, {t[0]: answers[t[0]] for t in texts}))  # bounded by BLOCK items
+        blocks.append((model, own))
 
-        def search(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
+        def search(batches: Iterator[pa.RecordBatch], model=model, own=own) -> Iterator[pa.RecordBatch]:
             m, texts, answers = model.value
             lists = [t[2] for t in texts]
             at = seeds(lists)
@@ -297,13 +352,19 @@ def find_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
                 for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                     words = fold(text)
                     candidates, where = _candidates(words, m)
-                    for q in verified(words, candidates, where, at, lists) if candidates else ():
+                    for q, extents in verified(words, candidates, where, at, lists).items() if candidates else ():
                         item_id, part, _ = texts[q]
                         a = answers[item_id]
                         has = bool(a) and any(words[j : j + len(a)] == a for j in range(len(words) - len(a) + 1))
-                        found.append((doc_id, item_id, part, has))
-                yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.string(), pa.bool_()))], ["doc_id", "item_id", "part", "has_answer"])
+                        head = (doc_id, item_id, part, has, int(own[q]))
+                        found += [(*head, float(_nearness(words[x:y], m)[q]), " ".join(words[x:y])) for x, y in extents] or [(*head, None, None)]
+                types = (pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.float64(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate(types)], ["doc_id", "item_id", "part", "has_answer", "content", "score", "run"])
 
-        part = docs.mapInArrow(search, schema)
+        part = docs.mapInArrow(search, schema + ", content bigint, score double, run string")
         out = part if out is None else out.unionByName(part)
-    return (out if out is not None else spark.createDataFrame([], schema)).dropDuplicates(["doc_id", "item_id", "part"])
+    for model, own in blocks:
+        if len(blocks) > 1:  # one block's model per stage; found rows are few
+            out = stored(out)
+        out = _distinct(out, model, own)
+    return out.select("doc_id", "item_id", "part", "has_answer").dropDuplicates(["doc_id", "item_id", "part"])
