@@ -2,9 +2,9 @@
 
 ``defect(prompt, text)`` names one defect.  The order of the tests is the order of precedence: an empty
 answer is nothing else; a copy or refusal is judged before the ending of the text; another language is
-judged before the ending.  Copies are detected by compression: the response is compressed with its prompt as a
-raw zstandard dictionary, and a response that costs next to nothing then is a copy candidate, which a
-comparison of words confirms.
+judged before the ending.  Copies are detected by compression alone: the response is compressed with its prompt as a
+raw zstandard dictionary and the prompt with the response, and what each leaves unexplained of the other decides.
+Cut responses are judged by the terminal-context model (``endings``), fitted on a bounded sample of the responses.
 """
 
 from __future__ import annotations
@@ -20,21 +20,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm import endings
+from quern.llm.common import spread
 from quern.llm.language import detect, requested, scores
 from quern.llm.lexicon import COURTESY, LABEL, PLACEHOLDERS, REFUSAL, REFUSAL_KEYS
 
-COPY_RATIO = 0.75  # bytes with the prompt as dictionary over bytes without, below which a copy is looked for
-REPETITIVE = 0.35  # compressed bytes over bytes of a text that repeats itself
-COPY_SHARE = 0.6  # share of the response's word pairs that the prompt holds
-COPY_COVER = 0.55  # share of the prompt's word pairs that the response holds
+COPY_NEW = 0.55  # share of a copy that its prompt leaves unexplained, at most
+COPY_MISSING = 0.65  # share of the prompt that a copy leaves unexplained, at most
+COPY_ADDED = 0.2  # how much more of a copy may be new than of the prompt is missing
+SHORT = 12  # bytes of a prompt that is only compared
 
 _TAG = re.compile(r"</?[a-zA-Z][^<>]*>|&[a-zA-Z#0-9]+;")
 _WORD = re.compile(r"[^\W_]+")
+_LETTERS = re.compile(r"[^\W\d_]+")
 _SENT = re.compile(r"(?<=[.!?。！？])\s*|\n+")
 _QUOTED = re.compile(r"\"[^\"]*\"|«[^»]*»|“[^”]*”|„[^“”]*[“”]|「[^」]*」|『[^』]*』")
 _HAN = re.compile(r"[㐀-鿿]")
+_OUTER = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
+LONGEST = 40  # no placeholder or label is longer
 _CODE = re.compile(r"```.*?(?:```|$)", re.S)
-_PARAMS = zstandard.ZstdCompressionParameters.from_level(3, write_content_size=0, write_checksum=0, write_dict_id=0)
 
 
 def is_empty(text: str | None) -> bool:
@@ -44,72 +47,49 @@ def is_empty(text: str | None) -> bool:
     bare = html.unescape(_TAG.sub(" ", text)).strip()
     if not any(c.isalnum() for c in bare):
         return True
-    if len(bare) > 40:
+    inner = bare.strip(_OUTER)
+    if len(inner) > LONGEST:
         return False
     core = re.sub(r"\s+", " ", re.sub(r"[^\w/. ]+", " ", bare.lower())).strip(" .")
     return core in PLACEHOLDERS or bare.lower() in PLACEHOLDERS or bool(LABEL.match(bare) and not re.match(r"^\w$", bare))
 
 
-def compression_ratio(prompt: str, text: str) -> float:
-    """Compressed size of ``text`` with ``prompt`` as a raw dictionary over its compressed size without; 1 without a prompt."""
-    data, raw = text.encode("utf-8", "surrogatepass"), prompt.encode("utf-8", "surrogatepass")
-    if len(raw) < 8 or not data:
-        return 1.0
-    with_prompt = zstandard.ZstdCompressor(compression_params=_PARAMS, dict_data=zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)).compress(data)
-    return len(with_prompt) / max(1, len(_plain().compress(data)))
+@lru_cache(maxsize=64)
+def _params(bits: int) -> zstandard.ZstdCompressionParameters:
+    return zstandard.ZstdCompressionParameters.from_level(3, source_size=1 << bits, dict_size=1 << bits, write_content_size=0, write_checksum=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
 
 
-@lru_cache(maxsize=1)
-def _plain() -> zstandard.ZstdCompressor:
-    return zstandard.ZstdCompressor(compression_params=_PARAMS)
+def compressed(data: bytes, dictionary: bytes = b"") -> int:
+    """Bytes of ``data`` compressed by zstandard with a raw dictionary."""
+    d = {"dict_data": zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)} if dictionary else {}
+    return len(zstandard.ZstdCompressor(compression_params=_params(max(len(data), len(dictionary)).bit_length()), **d).compress(data))
+
+
+def unexplained(data: bytes, dictionary: bytes) -> float:
+    """Share of the information in ``data`` that ``dictionary`` doesn't hold: compressed size with it over the size without."""
+    return compressed(data, dictionary) / max(1, compressed(data))
+
+
+def _words(s: str) -> bytes:
+    """The words; numbers, as of a list or of lines, only where there is nothing else."""
+    return " ".join(_LETTERS.findall(s.lower()) or _WORD.findall(s.lower())).encode("utf-8", "surrogatepass")
 
 
 def is_copy(prompt: str | None, text: str) -> bool:
-    """The text only gives the prompt back, whole or nearly so, once or again and again.  Where a text repeats itself, its
-    own repetitions compress as well as the prompt does, so its words are compared in any case."""
+    """The text only gives the prompt back, whole or nearly so, once or again and again: the prompt as dictionary leaves little of the text
+    unexplained, the text leaves not much of the prompt unexplained, and hardly less than the prompt leaves of it, as an answer of its own would."""
     if not prompt or not text:
         return False
-    if len(text) * 4 < len(prompt):
-        return False
-    p, t = prompt.lower(), text.lower()
-    if compression_ratio(p, t) > COPY_RATIO and compression_ratio(" ".join(_WORD.findall(p)), " ".join(_WORD.findall(t))) > COPY_RATIO and not _repeats_itself(t):
+    p, t = _words(prompt), _words(text)
+    if not p or not t or len(p) < SHORT:  # a few bytes tell too little as a dictionary
+        return bool(p) and not t.replace(p, b"").strip()
+    if not t.replace(p, b"").strip():
+        return True
+    new = unexplained(t, p)
+    if new > COPY_NEW:
         return False
-    units = _units
-    wp, wt = units(p), units(t)
-    if len(wt) < 3:
-        return wt == wp
-    pp, pt = set(zip(wp, wp[1:])), list(zip(wt, wt[1:]))
-    share = sum(x in pp for x in pt) / len(pt)
-    cover = len(pp & set(pt)) / max(1, len(pp))
-    if share >= COPY_SHARE and cover >= COPY_COVER:
-        # what is left over must not be a sentence of its own
-        return not _answers(pp, text, units)
-    # altered copies: single words replaced or dropped on the way
-    if share >= 0.4 and cover >= 0.4:
-        sp = set(wp)
-        return sum(w in sp for w in wt) / len(wt) >= 0.75 and len(set(wt) & sp) / len(sp) >= 0.7 and not _answers(pp, text, units)
-    return False
-
-
-def _repeats_itself(text: str) -> bool:
-    data = text.encode("utf-8", "surrogatepass")
-    return len(_plain().compress(data)) < REPETITIVE * len(data)
-
-
-def _units(s: str) -> list[str]:
-    """Words; Han characters one by one."""
-    if s.isascii():
-        return _WORD.findall(s)
-    return re.findall(r"[㐀-鿿]|[^\W_㐀-鿿]+", s)
-
-
-def _answers(pairs: set, text: str, units) -> bool:
-    """Whether a sentence of the text is not from the prompt: at least five units, at most a third of their pairs in it."""
-    for part in _SENT.split(text):
-        w = units(part.lower())
-        if len(w) >= 5 and sum(x in pairs for x in zip(w, w[1:])) * 3 < len(w) - 1:
-            return True
-    return False
+    missing = unexplained(p, t)
+    return missing <= COPY_MISSING and new - missing <= COPY_ADDED
 
 
 def is_refusal(text: str) -> bool:
@@ -161,8 +141,8 @@ def _weight(part: str) -> int:
     return len(part) + 2 * len(_HAN.findall(part))
 
 
-def defect(prompt: str | None, text: str | None) -> str | None:
-    """The defect's name, or None for a text that serves its prompt."""
+def defect(prompt: str | None, text: str | None, model: endings.Model = endings.Model()) -> str | None:
+    """The defect's name, or None for a text that serves its prompt; ``model`` judges endings."""
     if is_empty(text):
         return "empty"
     if is_copy(prompt, text):
@@ -171,18 +151,11 @@ def defect(prompt: str | None, text: str | None) -> str | None:
         return "refusal"
     if other_language(prompt, text):
         return "other_language"
-    if endings.evidence(text) >= endings.LIKELY:
+    if model.likely(text):
         return "truncated"
     return None
 
 
-def _defects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        ids, prompts, texts = (b.column(i).to_pylist() for i in range(3))
-        found = [(i, d) for i, p, t in zip(ids, prompts, texts) if (d := defect(p, t))]
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.string())], ["id", "defect"])
-
-
 def find_defects(records: DataFrame, id_col: str = "id", prompt_col: str = "prompt_text", text_col: str = "text") -> DataFrame:
     """One row (id, defect) per record whose response is defective.
 
@@ -190,5 +163,12 @@ def find_defects(records: DataFrame, id_col: str = "id", prompt_col: str = "prom
     once.  Null ids give no row; a null text is ``empty``; a null prompt can't be copied nor set a language.  Should
     deliveries of one id differ, the alphabetically first defect is kept.
     """
-    found = records.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string"), prompt_col, text_col).mapInArrow(_defects, "id string, defect string")
-    return found.groupBy("id").agg(F.min("defect").alias("defect"))
+    r = spread(records.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(prompt_col).alias("prompt"), F.col(text_col).alias("text")))
+    model = endings.fit(r.select(F.col("id").alias("key"), F.col("text").alias("value")))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [(i, d) for i, p, t in zip(*(b.column(k).to_pylist() for k in range(3))) if (d := defect(p, t, model))]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.string())], ["id", "defect"])
+
+    return r.mapInArrow(judge, "id string, defect string").groupBy("id").agg(F.min("defect").alias("defect"))

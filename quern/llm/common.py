@@ -7,13 +7,19 @@ from pyspark.sql import functions as F
 
 from quern.storage import bounded, drop_stored, stored
 
-__all__ = ["bounded", "drop_stored", "source_key", "source_names", "stored", "table", "with_source"]
+__all__ = ["bounded", "drop_stored", "source_key", "source_names", "spread", "stored", "table", "with_source"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its files have fewer row groups than there are cores; else as it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def source_key(c: Column) -> Column:
     """Spelling-independent form of a source's id or name: scheme, mirror, version, case, blanks and slashes removed."""
     s = F.regexp_replace(F.lower(F.trim(F.regexp_replace(c, r"[\s\x{200B}\x{FEFF}]+", " "))), r"^[a-z]+://(?:datasets/)?|^mirror/|@v?[\w.]+$|/+$", "")
