@@ -8,10 +8,10 @@ Per document, whole text:
    repeats its words further apart.
 4. Lag windows of ``WINDOW`` tokens without function words are lists of nouns, tags or menu entries; links are list
    entries themselves.
-5. The share of stuffed and listed tokens decides.  Where it is undecided, positional autocorrelation does: the largest
-   agreement of the stream with itself at any lag shows repetition more regular than in prose.
-6. Whatever that share, a page is spam that says one phrase of any length ``REPEATS`` times or more: by the autocorrelation of
-   the stream, numbers included, or by sentences that return word for word.
+5. Positional autocorrelation under a lag window: the agreement of the content words with themselves at lags up to ``MAX_LAG``, each
+   weighted by a triangular window.  It is added to the share of stuffed and listed tokens; the sum decides, in every document.
+6. Whatever that sum, a page is spam that says one phrase of any length ``REPEATS`` times or more: by the autocorrelation of
+   the stream at all lags, numbers included, or by sentences that return word for word.
 """
 
 from __future__ import annotations
@@ -25,14 +25,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.llm.common import spread
 from quern.llm.lexicon import FUNCTION_WORDS
 
-LAG, WINDOW, MAX_LAG = 9, 24, 32
+LAG, WINDOW, MAX_LAG = 9, 24, 16
 FEW = 1  # function words that a window may hold and still count as a list
-SPAM, DOUBT, PERIODIC = 0.5, 0.3, 0.5
-REPEATS = 4  # times that a phrase longer than MAX_LAG, or one without stuffing, is said; a passage pasted twice or three times is none
+SPAM = 0.65  # sum of share and windowed autocorrelation from which a document is spam
+MOST = 0.5  # what most of a document is
+REPEATS = 4  # times that a phrase is said; a passage pasted twice or three times is none
 SAME = 0.85  # agreement of a phrase's repetitions; entries of a glossary made alike differ in more
-LEAST_TOKENS = 6
+EXACT_LAGS = 32  # lags up to which the autocorrelation at all lags needs no transform
+FREE = 4  # tokens that say nothing either way: few tokens are little evidence
+LINK_WEIGHT = 3  # tokens that a link counts as
+_TAPER = 1 - np.arange(1, MAX_LAG + 1) / (MAX_LAG + 1)
 
 # Frequent Chinese function characters.
 _HAN_FUNCTION = "的了在是和与而但并之有没人到那说出于也就把被对从向为这其以及只因所后前中时"
@@ -100,7 +105,7 @@ def autocorrelation(ids: np.ndarray, content: np.ndarray, max_lag: int, least: f
     lags = np.arange(1, max_lag + 1)
     have = content.sum() - np.cumsum(content)[:max_lag]  # content positions that have a position ``lag`` before them
     ok = have > 0
-    if max_lag > MAX_LAG:
+    if max_lag > EXACT_LAGS:
         rng = np.random.default_rng(7)
         size = 1 << int(n + max_lag).bit_length()
         for _ in range(8):
@@ -127,9 +132,9 @@ def repeated(text: str, records: int) -> bool:
     n, distinct = len(toks), set(toks)
     if n < 3 * REPEATS or n <= records:
         return False
-    if len(distinct) <= (1 - SPAM + SPAM / REPEATS) * n:  # else no such sentences fit
+    if len(distinct) <= (1 - MOST + MOST / REPEATS) * n:  # else no such sentences fit
         times = Counter(tuple(_WORD.findall(x)) for x in _SENTENCE.split(text))
-        if sum(len(x) * k for x, k in times.items() if k >= REPEATS and len(x) >= 3) >= SPAM * (n + records):
+        if sum(len(x) * k for x, k in times.items() if k >= REPEATS and len(x) >= 3) >= MOST * (n + records):
             return True
     content = [t not in _FUNCTION for t in toks]
     if len(distinct - _FUNCTION) > n // REPEATS + (1 - SAME) * sum(content):  # no such lag then, see autocorrelation
@@ -137,34 +142,43 @@ def repeated(text: str, records: int) -> bool:
     return autocorrelation(_numbered(toks), np.array(content), n // REPEATS, SAME) >= SAME
 
 
-def profile(text: str, records: int) -> tuple[int, float, float]:
-    """(tokens, share of stuffed or listed tokens among all, autocorrelation or -1 where the share decides) of a body."""
+def windowed_autocorrelation(ids: np.ndarray, content: np.ndarray) -> float:
+    """Sum over lags up to ``MAX_LAG`` of the pairs of equal content tokens at that lag, tapered, per content token."""
+    near = np.lib.stride_tricks.sliding_window_view(np.concatenate([np.full(MAX_LAG, -1), ids]), MAX_LAG)[:-1]
+    return float((near[content] == ids[content, None]).sum(axis=0)[::-1] @ _TAPER)
+
+
+def profile(text: str, records: int) -> tuple[float, float]:
+    """(share of stuffed or listed tokens among all, windowed autocorrelation) of a body; a link counts as several tokens."""
     toks = tokens(text)
     n = len(toks)
-    if n < LEAST_TOKENS:
-        links = sum(t == _LINK for t in toks)
-        return n + records, (1.0 if links >= 3 and links * 2 >= n + records else 0.0), -1.0
+    if not n:
+        return 0.0, 0.0
     last: dict[str, int] = {}
+    names: dict[str, int] = {}
     flags = [t in _FUNCTION for t in toks]
     spam = np.zeros(n, bool)
+    ids = np.zeros(n, np.int64)  # of words and pairs of Han characters
+    link = np.zeros(n, bool)
     hits = []
     for i, t in enumerate(toks):
         if flags[i]:
             continue
         if t == _LINK:
             hits.append(i)
+            link[i] = True
             continue
+        if "㐀" <= t <= "鿿":  # one character says little, two are a word
+            if not i or flags[i - 1] or not "㐀" <= toks[i - 1] <= "鿿":
+                continue
+            t, wide = toks[i - 1] + t, 1
+        else:
+            wide = 0
         p = last.get(t, -99)
         last[t] = i
-        if "㐀" <= t <= "鿿":  # one character says little, two are a word
-            if i and not flags[i - 1] and "㐀" <= toks[i - 1] <= "鿿":
-                p = last.get(toks[i - 1] + t, -99)
-                last[toks[i - 1] + t] = i
-                if i - p <= LAG:
-                    hits += (i - 1, i, p - 1, p)
-        elif i - p <= LAG:
-            hits.append(i)
-            hits.append(p)
+        ids[i] = names.setdefault(t, len(names) + 1)
+        if i - p <= LAG:
+            hits += (i - wide, i, p - wide, p)
     spam[hits] = True
     function = np.array(flags)
     # lag windows with hardly a function word
@@ -179,19 +193,19 @@ def profile(text: str, records: int) -> tuple[int, float, float]:
         np.add.at(cover, starts + w, -1)
         spam |= np.cumsum(cover)[:n] > 0
     # function words between stuffed words belong to the sales phrase they carry
-    share = float(spam[~function].sum() + (spam & function).sum()) / max(1, (~function).sum() + (spam & function).sum() + records)
-    auto = -1.0
-    if DOUBT <= share < SPAM:
-        auto = autocorrelation(_numbered(toks), ~function, max(min(MAX_LAG, n // 2), n // REPEATS), PERIODIC)
-    return n + records, share, auto
+    weight = 1 + (LINK_WEIGHT - 1) * link
+    listed = float(weight[spam].sum())
+    plain = float(weight[~function & ~spam].sum())
+    content = (~function).sum()
+    whole = content + records + FREE
+    return listed / (listed + plain + records + FREE), windowed_autocorrelation(ids, ids > 0) / whole
 
 
 def is_spam(text: str | None) -> bool:
     if not text:
         return False
     stream, records = body(text)
-    _, share, auto = profile(stream, records)
-    return share >= SPAM or (share >= DOUBT and auto >= PERIODIC) or repeated(stream, records)
+    return sum(profile(stream, records)) >= SPAM or repeated(stream, records)
 
 
 def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,5 +219,5 @@ def find_spam(documents: DataFrame) -> DataFrame:
 
     One narrow pass; only found ids are shuffled, to give each once.  Null texts, empty texts and null ids give no row.
     """
-    d = documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint"), "text")
+    d = spread(documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint"), "text"))
     return d.mapInArrow(_found, "doc_id bigint").distinct()
