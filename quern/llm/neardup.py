@@ -1,15 +1,19 @@
 """Problem 4: groups of near-duplicate records at any scale.
 
-1. Records with the same words are one text (128-bit key); the later steps see each distinct text once, so exact
-   copies cost one row each.
-2. Per text: its word shingles as 64-bit hashes and ``BANDS * ROWS`` universal-hash minima.
-3. Banding.  A bucket of at most ``SMALL`` texts gives its pairs.  The members of a larger bucket are numbered and
-   cut into blocks; every pair of blocks is one group of bounded size, compared in numpy by signature.  No bucket is collected
-   or capped, and only pairs whose signatures agree leave the task.
-4. Signature verification, then the exact similarity of the shingle sets.
-5. Connected components by alternating large-star and small-star, on links between distinct texts.
-
-Candidate recall at the threshold itself is 1 - (1 - s^ROWS)^BANDS = 0.997 for s = 0.5 and grows with s.
+1. Records with the same words are one text (64-bit key); the later steps see each distinct text once, so exact copies cost one
+   narrow row each.
+2. Per text: its word shingles as 64-bit hashes, ``bands * rows`` universal-hash minima, a bucket per band, and two bits of each
+   minimum as a sketch.  Shingles and minima aren't stored.
+3. Banding.  One aggregate per bucket gives its size and, by minimum, maximum and exclusive or, its pairs if it holds two or three
+   texts.  The members of larger buckets are joined back; those of up to ``SMALL`` texts give the pairs whose sketches agree.
+4. A bucket of more than ``SMALL`` texts is cut into blocks; a pair of blocks is one group of bounded size.  First each block meets itself
+   and the first one.  Then what belongs together so far counts as one, and all blocks meet but those whose texts all
+   belong to the bucket's largest group.  Within a pair of blocks only pairs that aren't yet joined by verified links are verified,
+   so a family of any size costs few links, and no bucket is capped.
+5. Verification: sketches first, then the exact similarity of the shingle sets.  Every link that is used was verified.
+6. Connected components by alternating large-star and small-star, on links between distinct texts.
+
+Candidate recall at the threshold itself is 1 - (1 - s^rows)^bands = 0.997 for s = 0.5 and grows with s.
 """
 
 from __future__ import annotations
@@ -19,32 +23,34 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import drop_stored, stored
+from quern.llm.common import bounded, drop_stored, stored
 
 SMALL, BLOCK = 48, 256
-_RUN = regex.compile(r"[\p{L}\p{N}]+")
-_PRIME = np.uint64((1 << 61) - 1)
+BIG = 200_000  # larger buckets that are broadcast, at most
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def words(text: str) -> list[str]:
-    """The runs of letters and digits of the lower-cased text."""
-    return _RUN.findall(text.lower())
+def normalised(text: Column) -> Column:
+    """The runs of letters and digits of the lower-cased text, with one blank between."""
+    return F.btrim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
 def shingle_hashes(tokens: list[str], size: int) -> np.ndarray:
     """Distinct 64-bit hashes of the runs of ``size`` tokens; a shorter text is one shingle, an empty one has none."""
     if not tokens:
         return np.empty(0, np.uint64)
-    if len(tokens) < size:
-        runs = [" ".join(tokens)]
-    else:
-        runs = [" ".join(tokens[i : i + size]) for i in range(len(tokens) - size + 1)]
-    return np.unique(np.fromiter((xxhash.xxh3_64_intdigest(r) for r in set(runs)), np.uint64))
+    word = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
+    size = min(size, len(word))
+    n = len(word) - size + 1
+    h = np.zeros(n, np.uint64)
+    for k in range(size):
+        h = (h ^ word[k : k + n]) * _MIX
+        h ^= h >> np.uint64(29)
+    return np.unique(h)
 
 
 def permutations(n: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -53,56 +59,118 @@ def permutations(n: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Minima of the universal hashes (a * x + b) mod 2^64, upper half, over the set; int32."""
+    """Minima of the universal hashes (a * x + b) mod 2^64, upper half, over the set."""
     best = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
     for k in range(0, len(hashes), 512):
         best = np.minimum(best, (hashes[k : k + 512, None] * a[None, :] + b[None, :]).min(axis=0))
-    return (best >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return best >> np.uint64(32)
+
+
+def sketch(sig: np.ndarray) -> np.ndarray:
+    """The lowest bits of all minima, then the second lowest ones, as 64-bit numbers."""
+    bits = [np.packbits(np.pad(((sig >> np.uint64(k)) & np.uint64(1)).astype(np.uint8), (0, -len(sig) % 64))) for k in (0, 1)]
+    return np.concatenate(bits).view(np.int64)
+
+
+def bucket_hashes(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    h = np.arange(1, bands + 1, dtype=np.uint64)
+    for r in range(rows):
+        h = (h ^ sig.reshape(bands, rows)[:, r]) * _MIX
+        h ^= h >> np.uint64(31)
+    return h.view(np.int64)
+
 
+def least_agreement(threshold: float, perms: int) -> float:
+    """Minima whose two bits agree in a pair at the threshold, less four deviations."""
+    p = threshold + (1 - threshold) / 4
+    return perms * p - 4 * (perms * p * (1 - p)) ** 0.5
 
-def _features(size: int, perms: int):
+
+def _features(size: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = permutations(perms)
+        a, b = permutations(bands * rows)
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            keys, sets, sigs = [], [], []
+            buckets, sketches = [], []
+            with np.errstate(over="ignore"):
+                for t in batch.column(1).to_pylist():
+                    sig = signature(shingle_hashes(t.split(" "), size), a, b)
+                    buckets.append(bucket_hashes(sig, bands, rows))
+                    sketches.append(sketch(sig))
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (buckets, sketches)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], ["text_id", "t", "buckets", "sketch"])
+
+    return run
+
+
+def _agreeing(x: Column, y: Column, words: int, perms: int) -> Column:
+    """How many minima agree in both bits."""
+    differ = lambda k: F.get(x, F.lit(k)).bitwiseXOR(F.get(y, F.lit(k)))
+    total = F.bit_count(differ(0).bitwiseOR(differ(words)))
+    for k in range(1, words):
+        total = total + F.bit_count(differ(k).bitwiseOR(differ(words + k)))
+    return F.lit(perms) - total
+
+
+class _Sets:
+    """Shingle sets of texts, made when they are first needed."""
+
+    def __init__(self, size: int, keep: int = 20_000):
+        self.size, self.keep, self.known = size, keep, {}
+
+    def __call__(self, key: int, text: str) -> np.ndarray:
+        s = self.known.get(key)
+        if s is None:
+            if len(self.known) >= self.keep:
+                self.known.clear()
             with np.errstate(over="ignore"):
-                for t in texts:
-                    w = words(t or "")
-                    keys.append(xxhash.xxh3_128_hexdigest(" ".join(w)) if w else None)
-                    h = shingle_hashes(w, size)
-                    sets.append(h.view(np.int64))
-                    sigs.append(signature(h, a, b) if len(h) else np.empty(0, np.int32))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(keys, pa.string()), pa.array(sets, pa.list_(pa.int64())), pa.array(sigs, pa.list_(pa.int32()))], ["id", "text_key", "shingles", "sig"])
+                s = self.known[key] = shingle_hashes(text.split(" "), self.size)
+        return s
+
+
+def similar(x: np.ndarray, y: np.ndarray, threshold: float) -> bool:
+    """Whether the Jaccard similarity of two sets of distinct hashes reaches the threshold."""
+    if min(len(x), len(y)) < threshold * max(len(x), len(y)):
+        return False
+    both = np.concatenate([x, y])
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return common >= threshold * (len(both) - common)
+
+
+def _verified(size: int, threshold: float):
+    """Pairs (a, b, t_a, t_b) that are linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets = _Sets(size)
+        for b in batches:
+            keep = [similar(sets(x, s), sets(y, t), threshold) for x, y, s, t in zip(*(b.column(k).to_pylist() for k in range(4)))]
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _block_pairs(least: float):
-    """Pairs of one block pair whose signatures agree often enough.  Texts that certainly link are joined by a spanning tree, not by
-    all pairs: such a pair is left out only where pairs that were compared and certainly link already join its two texts."""
-    certain = least + 0.4
+def _block_links(size: int, threshold: float, perms: int):
+    """Verified links of one pair of blocks that join its texts as all links would: a pair is left out only where verified links join its texts
+    already, those of earlier rounds (``component``) included."""
+    least = least_agreement(threshold, perms)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         first, second = pdf["block"].min(), pdf["block"].max()
         x, y = pdf[pdf["block"] == first], pdf[pdf["block"] == second]
-        sx, sy = np.stack(x["sig"].to_numpy()), np.stack(y["sig"].to_numpy())
-        ix, iy = x["text_id"].to_numpy(), y["text_id"].to_numpy()
-        out: list[tuple[int, int]] = []
-        nodes, at = np.unique(np.concatenate([ix, iy]), return_inverse=True)
-        ax, ay = at[: len(ix)], at[len(ix) :]
-        tree = np.arange(len(nodes))  # per text the tree that holds it
+        sx, sy = (np.stack(z["sketch"].to_numpy()).view(np.uint64) for z in (x, y))
+        ix, iy, tx, ty = x["text_id"].to_numpy(), y["text_id"].to_numpy(), x["t"].to_numpy(), y["t"].to_numpy()
+        _, at = np.unique(np.concatenate([x["component"].to_numpy(), y["component"].to_numpy()]), return_inverse=True)
+        tree, ax, ay = np.arange(at.max() + 1), at[: len(ix)], at[len(ix) :]
+        sets, half, out = _Sets(size), sx.shape[1] // 2, []
         for k in range(len(ix)):
-            s = (sx[k][None, :] == sy).mean(axis=1)
-            s[iy == ix[k]] = 0
-            hits = np.flatnonzero((s >= least) & (s < certain)).tolist()
-            sure = np.flatnonzero(s >= certain)
-            trees, one = np.unique(tree[ay[sure]], return_index=True)
-            new = trees != tree[ax[k]]
-            hits += sure[one[new]].tolist()  # one compared pair per tree that x_k joins
-            tree[np.isin(tree, trees[new])] = tree[ax[k]]
-            for j in hits:
-                out.append((min(ix[k], iy[j]), max(ix[k], iy[j])))
+            differ = sx[k] ^ sy
+            agree = perms - np.bitwise_count(differ[:, :half] | differ[:, half:]).sum(axis=1, dtype=np.int64)
+            near = np.flatnonzero((agree >= least) & (iy != ix[k]))
+            for j in near[np.argsort(-agree[near], kind="stable")].tolist():
+                p, q = tree[ax[k]], tree[ay[j]]
+                if p != q and similar(sets(ix[k], tx[k]), sets(iy[j], ty[j]), threshold):
+                    tree[tree == p] = q
+                    out.append((min(ix[k], iy[j]), max(ix[k], iy[j])))
         return pd.DataFrame(sorted(set(out)), columns=["a", "b"])
 
     return run
@@ -148,53 +216,79 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
 def near_duplicates(records: DataFrame, id_col: str, text: Column, shingle: int = 5, threshold: float = 0.8, bands: int = 42, rows: int = 3) -> DataFrame:
     """(id, group_id, n_links): one row per distinct non-null id with words in its text.
 
-    ``group_id`` is the same for records that are linked directly or by others; ``n_links`` counts the other distinct texts its
-    text was found linked to (links that a spanning tree of a very large bucket leaves out are not counted).
+    ``group_id`` is the same for records that are linked directly or by others; ``n_links`` counts the verified links of its text
+    to other texts (in buckets of more than ``SMALL`` texts only those that join texts not joined before).
     Texts with the same words always share a group.  Records without any word or with a null id give no row; the
-    first of several rows with one id (by text) counts.
+    first of several rows with one id (by text key) counts.
     """
     perms = bands * rows
-    feats = records.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), text.alias("t")).mapInArrow(
-        _features(shingle, perms), "id string, text_key string, shingles array<bigint>, sig array<int>"
-    )
-    feats = stored(feats.where("text_key is not null"))
-    members = feats.groupBy("id").agg(F.min("text_key").alias("text_key"))
-    text_id = F.xxhash64("text_key")
-    texts = feats.select(text_id.alias("text_id"), "shingles", "sig").dropDuplicates(["text_id"])
-    texts = stored(texts)
-
-    cut = [F.struct(F.lit(i).alias("band"), F.xxhash64(*[F.col("sig")[i * rows + r] for r in range(rows)], F.lit(i)).alias("bucket")) for i in range(bands)]
-    banded = texts.select("text_id", F.explode(F.array(*cut)).alias("x")).select("text_id", F.col("x.bucket").alias("bucket"))
-    sizes = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    banded = stored(banded.join(sizes, "bucket"))
-
-    small = banded.where(F.col("size") <= SMALL).select("bucket", "text_id")
-    pairs = small.alias("x").join(small.withColumnRenamed("text_id", "other").alias("y"), "bucket").where("text_id < other").select(F.col("text_id").alias("a"), F.col("other").alias("b")).distinct()
-    # signature agreement at four deviations below the threshold, then the sets themselves
-    least = threshold - 4 * (threshold * (1 - threshold) / perms) ** 0.5
-    if banded.where(F.col("size") > SMALL).limit(1).count():
-        large = banded.where(F.col("size") > SMALL)
-        salt = F.pmod(F.xxhash64("text_id", "bucket"), F.ceil(F.col("size") / BLOCK)).cast("int")
-        n = F.ceil(F.col("size") / BLOCK).cast("int")
-        blocks = large.join(texts.select("text_id", "sig"), "text_id").withColumn("block", salt)
-        # a block meets itself and every other block once: the pair (i, j), i <= j, is one group
-        blocks = blocks.withColumn("mate", F.explode(F.sequence(F.lit(0), n - 1)))
-        blocks = blocks.select("bucket", F.least("block", "mate").alias("i"), F.greatest("block", "mate").alias("j"), "block", "text_id", "sig")
-        pairs = pairs.unionByName(blocks.groupBy("bucket", "i", "j").applyInPandas(_block_pairs(least), "a bigint, b bigint")).distinct()
-
-    # signatures first, then the sets of the few pairs that are left
-    cand = pairs
+    words, least = -(-perms // 64), least_agreement(threshold, perms)
+    r = records.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), normalised(text).alias("t")).where("t <> ''")
+    r = r.withColumn("text_id", F.xxhash64("t"))
+    members = stored(r.groupBy("id").agg(F.min("text_id").alias("text_id")))
+    texts = r.groupBy("text_id").agg(F.min("t").alias("t")).join(members.select("text_id").distinct(), "text_id", "left_semi")
+    texts = stored(texts.select("text_id", "t").mapInArrow(_features(shingle, bands, rows), "text_id bigint, t string, buckets array<bigint>, sketch array<bigint>"))
+
+    def banded(*columns: str) -> DataFrame:
+        return texts.select("text_id", *columns, F.explode("buckets").alias("bucket"))
+
+    ids = F.col("text_id")
+    held = banded().groupBy("bucket").agg(F.count("*").alias("n"), F.min(ids).alias("a"), F.max(ids).alias("b"), F.bit_xor(ids).alias("x")).where("n > 1")
+    held = stored(held)
+    third = F.col("x").bitwiseXOR(F.col("a")).bitwiseXOR(F.col("b"))
+    pair = lambda x, y: F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    few = F.when(F.col("n") == 2, F.array(pair("a", "b"))).otherwise(F.array(pair("a", "b"), pair(F.col("a"), third), pair(third, F.col("b"))))
+    pairs = held.where("n <= 3").select(F.inline(few)).distinct()
+    sketches = texts.select("text_id", "sketch")
     for k in "ab":
-        cand = cand.join(texts.select(F.col("text_id").alias(k), F.col("sig").alias(f"g_{k}")), k)
-    cand = cand.where(F.size(F.array_intersect("g_a", "g_b")) >= int(least * perms)).select("a", "b")
+        pairs = pairs.join(sketches.select(F.col("text_id").alias(k), F.col("sketch").alias(f"s_{k}")), k)
+    agree = lambda x, y: _agreeing(F.col(x), F.col(y), words, perms) >= least
+    pairs = pairs.where(agree("s_a", "s_b")).select("a", "b")
+    many = stored(banded("sketch").join(bounded(held.where("n > 3").select("bucket", "n"), BIG), "bucket"))
+    small = many.where(F.col("n") <= SMALL).select("bucket", ids.alias("a"), F.col("sketch").alias("s_a"))
+    other = small.select("bucket", F.col("a").alias("b"), F.col("s_a").alias("s_b"))
+    pairs = pairs.unionByName(small.join(other, "bucket").where((F.col("a") < F.col("b")) & agree("s_a", "s_b")).select("a", "b")).distinct()
     for k in "ab":
-        cand = cand.join(texts.select(F.col("text_id").alias(k), F.col("shingles").alias(f"s_{k}")), k)
-    common = F.size(F.array_intersect("s_a", "s_b"))
-    links = stored(cand.withColumn("c", common).where(F.col("c") >= threshold * (F.size("s_a") + F.size("s_b") - F.col("c"))).select("a", "b"))
-    parts = components(links)
+        pairs = pairs.join(texts.select(F.col("text_id").alias(k), F.col("t").alias(f"t_{k}")), k)
+    links = pairs.select("a", "b", "t_a", "t_b").mapInArrow(_verified(shingle, threshold), "a bigint, b bigint")
+
+    def met(blocks: DataFrame, which: Column) -> DataFrame:
+        """Links of the pairs of blocks (i <= j) for which ``which`` of a row's ``block`` and its ``mate`` holds; ``blocks`` has their number ``of``."""
+        b = blocks.join(texts.select("text_id", "t"), "text_id").withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("of") - 1))).where(which)
+        b = b.select("bucket", F.least("block", "mate").alias("i"), F.greatest("block", "mate").alias("j"), "block", "text_id", "sketch", "component", "t")
+        return b.groupBy("bucket", "i", "j").applyInPandas(_block_links(shingle, threshold, perms), "a bigint, b bigint")
+
+    large = many.where(F.col("n") > SMALL)
+    count = lambda c: F.ceil(c / F.lit(BLOCK)).cast("int")
+    any_large = held.where(F.col("n") > SMALL).limit(1).count() > 0
+    if any_large:
+        blocks = large.withColumn("of", count(F.col("n"))).withColumn("block", F.pmod(F.xxhash64("text_id", "bucket"), F.col("of")).cast("int")).withColumn("component", ids)
+        first = (F.col("block") == F.col("mate")) | (F.col("block") == 0) | (F.col("mate") == 0)
+        links = links.unionByName(met(blocks, first)).distinct()
+    links = stored(links)
+    parts = stored(components(links))
+    if any_large:
+        # texts of the bucket's largest group in blocks of their own, which needn't meet each other
+        own = large.join(parts.withColumnRenamed("node", "text_id"), "text_id", "left").withColumn("component", F.coalesce("component", "text_id"))
+        sizes = own.groupBy("bucket", "component").agg(F.count("*").alias("m"))
+        main = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.max("m").alias("m"), F.count("*").alias("groups")).where("groups > 1")
+        mine = F.col("component") == F.col("main")
+        n_main, n_rest = count(F.col("m")), count(F.col("n") - F.col("m"))
+        own = own.join(main, "bucket").withColumn("of", n_main + n_rest)
+        salt = F.xxhash64("text_id", "bucket")
+        own = own.withColumn("block", F.when(mine, F.pmod(salt, n_main)).otherwise(n_main + F.pmod(salt, n_rest)).cast("int"))
+        more = stored(met(own, (F.col("block") >= n_main) | (F.col("mate") >= n_main)).distinct())
+        if more.limit(1).count():
+            joined = more
+            for k in "ab":
+                joined = joined.join(parts.select(F.col("node").alias(k), F.col("component").alias(f"c_{k}")), k, "left")
+            over = components(joined.select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b")))
+            known = parts.unionByName(more.select(F.explode(F.array("a", "b")).alias("node")).join(parts, "node", "left_anti").distinct().withColumn("component", F.col("node")))
+            over = over.select(F.col("node").alias("component"), F.col("component").alias("whole"))
+            parts = known.join(over, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+            links = links.unionByName(more)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    of = parts.join(degree, "node")
-    m = members.select("id", text_id.alias("node")).join(of, "node", "left")
+    m = members.select("id", ids.alias("node")).join(parts.join(degree, "node"), "node", "left")
     return m.select("id", F.coalesce("component", "node").alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 

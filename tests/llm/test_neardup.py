@@ -1,8 +1,8 @@
 import itertools
 import random
 
-import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import functions as F
 
 from quern.llm import neardup as N
@@ -10,10 +10,14 @@ from quern.llm import neardup as N
 WORDS = [f"w{k}" for k in range(400)]
 
 
+def words(text):
+    return regex.findall(r"[\p{L}\p{N}]+", text.lower())
+
+
 def brute(texts, size, threshold):
     sets = {}
     for i, t in texts.items():
-        w = N.words(t or "")
+        w = words(t or "")
         if w:
             sets[i] = {" ".join(w[k : k + size]) for k in range(max(1, len(w) - size + 1))}
     group = {i: i for i in sets}
@@ -63,34 +67,78 @@ def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
     assert pairs(spark, texts, shingle=3, threshold=0.5) == brute(texts, 3, 0.5)
 
 
-def test_blocks_keep_compared_pairs_of_texts_cut_from_both_ends():
-    words = [f"w{k}" for k in range(102)]
-    texts = [words[:-27], words[27:], words]
-    sets = [set(zip(t, t[1:], t[2:])) for t in texts]
-    assert [round(len(sets[a] & sets[b]) / len(sets[a] | sets[b]), 2) for a, b in ((0, 2), (1, 2), (0, 1))] == [0.73, 0.73, 0.46]
-    sig = np.zeros((3, 126), np.int32)  # of just these similarities
-    sig[0, :34], sig[1, -34:] = 1, 2
-    for blocks in ([0, 0, 1], [1, 1, 0], [0, 0, 0], [0, 1, 0]):
-        df = pd.DataFrame({"block": blocks, "text_id": [5, 6, 7], "sig": list(sig)})
-        got = set(map(tuple, N._block_pairs(0.322)(df).to_numpy().tolist()))
-        want = {(a + 5, b + 5) for a, b in ((0, 2), (1, 2)) if blocks[a] != blocks[b] or not any(blocks)}
-        assert want <= got and all(blocks[a - 5] != blocks[b - 5] or not any(blocks) for a, b in got)
+def featured(texts, size=3):
+    """Rows as the stage of blocks gets them, of word lists."""
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array([" ".join(t) for t in texts])], ["text_id", "t"])
+    df = pd.concat(x.to_pandas() for x in N._features(size, 42, 3)(iter([batch])))
+    return df.assign(component=df["text_id"])
 
 
-def test_blocks_join_what_certainly_links_by_few_pairs():
-    rnd = np.random.default_rng(2)
-    base = rnd.integers(0, 9, (4, 126))
-    sig = np.where(rnd.random((120, 126)) < 0.04, -1 - np.arange(120)[:, None], base[np.arange(120) % 4]).astype(np.int32)
-    df = pd.DataFrame({"block": np.arange(120) // 60, "text_id": np.arange(120), "sig": list(sig)})
-    got = N._block_pairs(0.322)(df)
-    assert len(got) == 116 and (got["a"] % 4 == got["b"] % 4).all() and (got["a"] // 60 != got["b"] // 60).all()
+def blocks_links(df, blocks):
+    return set(map(tuple, N._block_links(3, 0.5, 126)(df.assign(block=blocks)).to_numpy().tolist()))
+
+
+def test_blocks_keep_links_of_texts_cut_from_both_ends():
+    base = [f"w{k}" for k in range(102)]
+    texts = [base[:-27], base[27:], base]
+    sets = [set(zip(t, t[1:], t[2:])) for t in texts]
+    assert [round(len(sets[a] & sets[b]) / len(sets[a] | sets[b]), 2) for a, b in ((0, 2), (1, 2), (0, 1))] == [0.73, 0.73, 0.46]
+    df = featured(texts)
+    for blocks in ([0, 0, 1], [1, 1, 0], [0, 0, 0]):
+        assert blocks_links(df, blocks) == {(0, 2), (1, 2)}
+    assert blocks_links(df, [0, 1, 0]) == {(1, 2)}
+
+
+def test_blocks_join_a_family_by_few_verified_links():
+    rnd = random.Random(2)
+    bases = [[rnd.choice(WORDS) for _ in range(60)] for _ in range(4)]
+    texts = []
+    for k in range(120):
+        t = list(bases[k % 4])
+        t[rnd.randrange(60)] = f"x{k}"
+        texts.append(t)
+    df = featured(texts)
+    got = blocks_links(df, [k // 60 for k in range(120)])
+    assert len(got) == 116 and all(a % 4 == b % 4 and a // 60 != b // 60 for a, b in got)
+    assert blocks_links(df.assign(component=df["text_id"] % 4), [k // 60 for k in range(120)]) == set()
+
+
+def test_sketches_agree_as_often_as_texts_are_similar():
+    rnd = random.Random(6)
+    base = [rnd.choice(WORDS) for _ in range(300)]
+    df = featured([base, base[:200] + [f"x{k}" for k in range(100)], [f"y{k}" for k in range(300)]])
+    import numpy as np
+
+    x = np.stack(df["sketch"].to_numpy()).view(np.uint64)
+    agree = lambda a, b: 126 - int(np.bitwise_count((x[a] ^ x[b])[:2] | (x[a] ^ x[b])[2:]).sum())
+    assert agree(0, 0) == 126 and agree(0, 1) > N.least_agreement(0.5, 126) > agree(0, 2)
+
+
+def test_the_blocks_of_a_hot_family_and_its_bridge(spark, monkeypatch):
+    """A family, another one, and texts between the two, in buckets that are cut into many blocks."""
+    monkeypatch.setattr(N, "SMALL", 3)
+    monkeypatch.setattr(N, "BLOCK", 4)
+    rnd = random.Random(11)
+    base = [rnd.choice(WORDS) for _ in range(90)]
+    other = base[:45] + [f"z{k}" for k in range(45)]
+    texts = {}
+    for k in range(40):
+        t = list(base if k % 2 else other)
+        t[rnd.randrange(90)] = f"x{k}"
+        texts[f"d{k:02d}"] = " ".join(t)
+    assert pairs(spark, texts, shingle=3, threshold=0.5) == brute(texts, 3, 0.5)
+    texts["bridge"] = " ".join(base[:45] + base[45:68] + [f"z{k}" for k in range(23)])
+    want = brute(texts, 3, 0.5)
+    assert len(want) == 41 * 20 and pairs(spark, texts, shingle=3, threshold=0.5) == want
 
 
 def test_every_record_has_a_class(spark):
     texts = corpus(4)
     df = spark.createDataFrame(list(texts.items()), "id string, t string")
     g = N.near_duplicates(df, "id", F.col("t"), shingle=3, threshold=0.5).collect()
-    assert {r["id"] for r in g} == {i for i, t in texts.items() if N.words(t or "")} and len({r["id"] for r in g}) == len(g)
+    assert {r["id"] for r in g} == {i for i, t in texts.items() if words(t or "")} and len({r["id"] for r in g}) == len(g)
     assert N.near_duplicates(df.limit(0), "id", F.col("t")).count() == 0
 
 
