@@ -39,8 +39,8 @@ def normalised(text: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
-def shingle_hashes(tokens: list[str], size: int) -> np.ndarray:
-    """Distinct 64-bit hashes of the runs of ``size`` tokens; a shorter text is one shingle, an empty one has none."""
+def shingles(tokens: list[str], size: int) -> np.ndarray:
+    """64-bit hashes of the runs of ``size`` tokens in order; a shorter text is one shingle, an empty one has none."""
     if not tokens:
         return np.empty(0, np.uint64)
     word = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
@@ -50,7 +50,12 @@ def shingle_hashes(tokens: list[str], size: int) -> np.ndarray:
     for k in range(size):
         h = (h ^ word[k : k + n]) * _MIX
         h ^= h >> np.uint64(29)
-    return np.unique(h)
+    return h
+
+
+def shingle_hashes(tokens: list[str], size: int) -> np.ndarray:
+    """The distinct shingles."""
+    return np.unique(shingles(tokens, size))
 
 
 def permutations(n: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -60,26 +65,31 @@ def permutations(n: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
 
 def signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Minima of the universal hashes (a * x + b) mod 2^64, upper half, over the set."""
-    best = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
-    for k in range(0, len(hashes), 512):
-        best = np.minimum(best, (hashes[k : k + 512, None] * a[None, :] + b[None, :]).min(axis=0))
+    best = (hashes[:512, None] * a + b).min(axis=0)
+    for k in range(512, len(hashes), 512):
+        best = np.minimum(best, (hashes[k : k + 512, None] * a + b).min(axis=0))
     return best >> np.uint64(32)
 
 
-def sketch(sig: np.ndarray) -> np.ndarray:
-    """The lowest bits of all minima, then the second lowest ones, as 64-bit numbers."""
-    bits = [np.packbits(np.pad(((sig >> np.uint64(k)) & np.uint64(1)).astype(np.uint8), (0, -len(sig) % 64))) for k in (0, 1)]
-    return np.concatenate(bits).view(np.int64)
+def sketches(sig: np.ndarray) -> np.ndarray:
+    """Per row of minima their lowest bits, then the second lowest ones, as 64-bit numbers."""
+    bits = [np.packbits(np.pad(((sig >> np.uint64(k)) & np.uint64(1)).astype(np.uint8), ((0, 0), (0, -sig.shape[1] % 64))), axis=1) for k in (0, 1)]
+    return np.concatenate(bits, axis=1).view(np.int64)
 
 
 def bucket_hashes(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """Per row of minima one hash per band."""
     h = np.arange(1, bands + 1, dtype=np.uint64)
     for r in range(rows):
-        h = (h ^ sig.reshape(bands, rows)[:, r]) * _MIX
+        h = (h ^ sig.reshape(-1, bands, rows)[:, :, r]) * _MIX
         h ^= h >> np.uint64(31)
     return h.view(np.int64)
 
 
+def _lists(x: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()), pa.array(x.ravel()))
+
+
 def least_agreement(threshold: float, perms: int) -> float:
     """Minima whose two bits agree in a pair at the threshold, less four deviations."""
     p = threshold + (1 - threshold) / 4
@@ -90,13 +100,9 @@ def _features(size: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = permutations(bands * rows)
         for batch in batches:
-            buckets, sketches = [], []
             with np.errstate(over="ignore"):
-                for t in batch.column(1).to_pylist():
-                    sig = signature(shingle_hashes(t.split(" "), size), a, b)
-                    buckets.append(bucket_hashes(sig, bands, rows))
-                    sketches.append(sketch(sig))
-            lists = [pa.array(x, pa.list_(pa.int64())) for x in (buckets, sketches)]
+                sig = np.array([signature(shingles(t.split(" "), size), a, b) for t in batch.column(1).to_pylist()], np.uint64).reshape(-1, bands * rows)
+                lists = _lists(bucket_hashes(sig, bands, rows)), _lists(sketches(sig))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], ["text_id", "t", "buckets", "sketch"])
 
     return run
@@ -224,7 +230,7 @@ def near_duplicates(records: DataFrame, id_col: str, text: Column, shingle: int
     perms = bands * rows
     words, least = -(-perms // 64), least_agreement(threshold, perms)
     r = records.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), normalised(text).alias("t")).where("t <> ''")
-    r = r.withColumn("text_id", F.xxhash64("t"))
+    r = stored(r.withColumn("text_id", F.xxhash64("t")))
     members = stored(r.groupBy("id").agg(F.min("text_id").alias("text_id")))
     texts = r.groupBy("text_id").agg(F.min("t").alias("t")).join(members.select("text_id").distinct(), "text_id", "left_semi")
     texts = stored(texts.select("text_id", "t").mapInArrow(_features(shingle, bands, rows), "text_id bigint, t string, buckets array<bigint>, sketch array<bigint>"))
@@ -239,9 +245,8 @@ def near_duplicates(records: DataFrame, id_col: str, text: Column, shingle: int
     pair = lambda x, y: F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     few = F.when(F.col("n") == 2, F.array(pair("a", "b"))).otherwise(F.array(pair("a", "b"), pair(F.col("a"), third), pair(third, F.col("b"))))
     pairs = held.where("n <= 3").select(F.inline(few)).distinct()
-    sketches = texts.select("text_id", "sketch")
     for k in "ab":
-        pairs = pairs.join(sketches.select(F.col("text_id").alias(k), F.col("sketch").alias(f"s_{k}")), k)
+        pairs = pairs.join(texts.select(F.col("text_id").alias(k), F.col("sketch").alias(f"s_{k}")), k)
     agree = lambda x, y: _agreeing(F.col(x), F.col(y), words, perms) >= least
     pairs = pairs.where(agree("s_a", "s_b")).select("a", "b")
     many = stored(banded("sketch").join(bounded(held.where("n > 3").select("bucket", "n"), BIG), "bucket"))
@@ -287,6 +292,8 @@ def near_duplicates(records: DataFrame, id_col: str, text: Column, shingle: int
             over = over.select(F.col("node").alias("component"), F.col("component").alias("whole"))
             parts = known.join(over, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
             links = links.unionByName(more)
+    for done in (r, texts, held, many):
+        drop_stored(done)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     m = members.select("id", ids.alias("node")).join(parts.join(degree, "node"), "node", "left")
     return m.select("id", F.coalesce("component", "node").alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
