@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,9 +62,10 @@ def noise(target: Column | str, vocabulary: int, pad: int, seed: int, *keys: Col
     target = _c(target)
 
     def made(t: Column) -> Column:
-        mask = F.transform(target, lambda x, i: (x >= 0) & (rng.uniform(seed, "m", *keys, i) < t))
-        replaced = lambda m: F.transform(target, lambda x, i: F.when(x < 0, F.lit(pad).cast("bigint")).when(F.get(m, i), rng.below(vocabulary, seed, "v", *keys, i)).otherwise(x))
-        return let(mask, lambda m: F.struct(t.alias("noise_t"), m.alias("mask"), replaced(m).alias("ids")))
+        # one digest per position: its first digits decide, the next ones give the id
+        drawn = lambda d, x: F.struct((rng.unit(d) < t).alias("m"), F.when(rng.unit(d) < t, rng.second(d) % vocabulary).otherwise(x).alias("v"))
+        at = lambda x, i: F.when(x >= 0, let(rng.digest(seed, "n", *keys, i), lambda d: drawn(d, x))).otherwise(F.struct(F.lit(False).alias("m"), F.lit(pad).cast("bigint").alias("v")))
+        return let(F.transform(target, at), lambda p: F.struct(t.alias("noise_t"), F.transform(p, lambda y: y["m"]).alias("mask"), F.transform(p, lambda y: y["v"]).alias("ids")))
 
     return let(F.lit(0.05) + F.lit(0.9) * rng.uniform(seed, "t", *keys), made)
 
@@ -114,10 +117,21 @@ def placeholder_mask(ids: Column | str, token: int) -> Column:
 
 def fill_placeholders(ids: Column | str, token: int, values: Column | str) -> Column:
     """Values in order at the placeholders; null where the counts differ."""
-    ids, values = _c(ids), _c(values)
-    at = lambda i: F.size(F.filter(F.slice(ids, 1, i + 1), lambda y: y == token))
-    filled = F.transform(ids, lambda x, i: F.when(x == token, F.get(values, at(i) - 1)).otherwise(x))
-    return F.when(F.size(F.filter(ids, lambda y: y == token)) == F.size(values), filled)
+
+    def run(ids: pd.Series, values: pd.Series) -> pd.Series:
+        out = []
+        for x, v in zip(ids, values):
+            at = np.flatnonzero(np.asarray(x) == token) if x is not None and v is not None else ()
+            if x is None or v is None or len(at) != len(v):
+                out.append(None)
+                continue
+            x = np.array(x)
+            x[at] = v
+            out.append(x)
+        return pd.Series(out, dtype=object)
+
+    # a running count in an array function would read the array once per position
+    return F.pandas_udf(run, "array<bigint>")(_c(ids), _c(values))
 
 
 def position_ids(n: Column | str, past: Column | int = 0) -> Column:

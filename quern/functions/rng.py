@@ -6,13 +6,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _digest(seed: int, tag: str, *keys: Column) -> Column:
+def digest(seed: int, tag: str, *keys: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(tag), *[k.cast("string") for k in keys]))
 
 
 def number(seed: int, tag: str, *keys: Column) -> Column:
     """A whole number of 52 random bits."""
-    return F.conv(F.substring(_digest(seed, tag, *keys), 1, 13), 16, 10).cast("bigint")
+    return _bits(digest(seed, tag, *keys), 1)
+
+
+def _bits(digest: Column, at: int) -> Column:
+    return F.conv(F.substring(digest, at, 13), 16, 10).cast("bigint")
+
+
+def unit(digest: Column) -> Column:
+    """A number in [0, 1) from a digest."""
+    return _bits(digest, 1) / F.lit(float(1 << 52))
+
+
+def second(digest: Column) -> Column:
+    """A whole number of 52 bits from a digest, independent of ``unit``."""
+    return _bits(digest, 14)
 
 
 def uniform(seed: int, tag: str, *keys: Column) -> Column:

@@ -145,6 +145,21 @@ def parse_response(x: Column | str) -> Column:
     return F.struct(strip(F.regexp_extract(_c(x), r"(?s)<\|channel>(.*?)<channel\|>", 1)).alias("thinking"), strip_thinking(x).alias("content"))
 
 
+def parse_tool_calls(x: Column | str) -> Column:
+    """array<struct<name, arguments>> of the tool calls in a response, arguments as they are written; calls of another form are left out."""
+    calls = F.regexp_extract_all(_c(x), F.lit(r"(?s)<\|tool_call>(.*?)<tool_call\|>"), F.lit(1))
+    whole = F.filter(calls, lambda c: c.rlike(r"(?s)call:\w+\{.*\}"))
+    part = lambda c, k: F.regexp_extract(c, r"(?s)call:(\w+)(\{.*\})", k)
+    return F.transform(whole, lambda c: F.struct(part(c, 1).alias("name"), part(c, 2).alias("arguments")))
+
+
+def response_parts(x: Column | str) -> Column:
+    """struct<thinking, tool_calls, content>: the thought, the calls, and what follows them up to the end of the turn or a tool's response."""
+    rest = F.regexp_replace(F.regexp_replace(_c(x), r"(?s)<\|channel>thought\n.*?<channel\|>", ""), r"(?s)<\|tool_call>.*<tool_call\|>", "")
+    thought = F.regexp_extract(_c(x), r"(?s)<\|channel>thought\n(.*?)<channel\|>", 1)
+    return F.struct(thought.alias("thinking"), parse_tool_calls(x).alias("tool_calls"), F.regexp_extract(rest, r"(?s)^(.*?)(?:<turn\|>|<\|tool_response>|$)", 1).alias("content"))
+
+
 def render_turn(role: Column | str, text: Column | str) -> Column:
     """One turn in chat-template form; the assistant is called model."""
     r = F.lower(_c(role))

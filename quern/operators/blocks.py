@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import arrays
-from quern.storage import prefix_sums
+from quern.storage import prefix_sums, with_positions
 
 
 def tokenized(df: DataFrame, text: str, out: str, make_tokenizer: Callable[[], Callable[[list[str]], list[list[int]]]]) -> DataFrame:
@@ -39,16 +39,19 @@ def corrupted(blocks: DataFrame, vocabulary: int, pad: int, seed: int, keys: lis
 
 def shards(blocks: DataFrame, order: list[str], size: int, signature: str = "signature", family: str = "family") -> DataFrame:
     """``blocks`` with ``shard_id``, counted per family: a signature's buffer is written when it holds ``size`` blocks; what is left at the
-    end is written in the order in which the signatures were first seen."""
-    b = prefix_sums(blocks, order).withColumnRenamed("ordinal", "_at")
-    b = prefix_sums(b, order, [signature]).withColumn("_q", F.floor(F.col("ordinal") / size)).drop("ordinal")
-    part = b.groupBy(family, signature, "_q").agg(F.count("*").alias("_n"), F.max("_at").alias("_last"))
-    seen = b.groupBy(signature).agg(F.min("_at").alias("_first"))
-    part = part.join(seen, signature)
-    # one row per shard from here on
-    flush = F.when(F.col("_n") == size, F.struct(F.lit(0).alias("tail"), F.col("_last").alias("at"))).otherwise(F.struct(F.lit(1).alias("tail"), F.col("_first").alias("at")))
-    ids = part.withColumn("shard_id", F.dense_rank().over(Window.partitionBy(family).orderBy(flush)) - 1).select(family, signature, "_q", "shard_id")
-    return b.join(ids, [family, signature, "_q"]).drop("_q", "_at")
+    end is written in the order in which the signatures were first seen.  ``order`` is unique; only it, the signature and the family are sorted."""
+    keys = blocks.select(signature, family, *order)
+    b = prefix_sums(keys, [*order, family], [signature]).withColumn("_q", F.floor(F.col("ordinal") / size))
+    at = F.struct(*order)
+    part = b.groupBy(family, signature, "_q").agg(F.count("*").alias("_n"), F.max(at).alias("_last"))
+    seen = b.groupBy(signature).agg(F.min(at).alias("_first")).withColumnRenamed(signature, "_seen")
+    part = part.join(seen, F.col(signature).eqNullSafe(F.col("_seen")))
+    # one row per shard from here on: full ones in the order of their last block, then what is left
+    full = F.col("_n") == size
+    part = part.select(family, signature, "_q", F.when(full, 0).otherwise(1).alias("_tail"), F.when(full, F.col("_last")).otherwise(F.col("_first")).alias("_at"))
+    ids = prefix_sums(part, ["_tail", "_at", signature, "_q"], [family]).withColumnRenamed("ordinal", "shard_id")
+    b = with_positions(b.select(family, signature, "_q", *order), ids, [family, signature, "_q"], "shard_id")
+    return with_positions(blocks, b, order, "shard_id")
 
 
 def verify_shards(rows: DataFrame, length: int, min_blocks: int = 0) -> DataFrame:
@@ -64,3 +67,18 @@ def collate(rows: DataFrame, batch: str, features: list[str]) -> DataFrame:
     """(batch, rows, keys): the features that every row of a batch has."""
     every = [F.when(F.bool_and(F.col(f).isNotNull()), F.lit(f)) for f in features]
     return rows.groupBy(batch).agg(F.count("*").alias("rows"), F.array_compact(F.array(*every)).alias("keys"))
+
+
+def stacked(rows: DataFrame, batch: str, order: str, features: list[str]) -> DataFrame:
+    """(batch, rows, features): per feature the values of a batch's rows in their order, null where a row has none.  A batch is a few rows by definition."""
+    n = F.count("*")
+    values = [F.when(F.count(f) == n, F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(f).alias("v")))), lambda x: x["v"])).alias(f) for f in features]
+    return rows.groupBy(batch).agg(n.alias("rows"), *values)
+
+
+def corruption_totals(rows: DataFrame, record: str = "id", family: str = "family") -> DataFrame:
+    """One row (records_read, blocks_written, shards, shard_families): records with a block, blocks, shards, and shards per family as a map."""
+    per = rows.groupBy(family).agg(F.countDistinct("shard_id").alias("n"), F.count("*").alias("b"))
+    families = per.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(family, "n")))).alias("shard_families"), F.coalesce(F.sum("b"), F.lit(0)).alias("blocks_written"), F.coalesce(F.sum("n"), F.lit(0)).alias("shards"))
+    records = rows.agg(F.countDistinct(record).alias("records_read"))
+    return records.join(families, F.lit(True)).select("records_read", "blocks_written", "shards", "shard_families")

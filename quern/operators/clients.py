@@ -46,7 +46,7 @@ class Completions:
 
     def _body(self) -> dict:
         c = self.config
-        return {"model": c.model, "max_tokens": c.max_tokens, "temperature": c.temperature, "top_p": c.top_p}
+        return {"model": c.model, "max_tokens": c.max_tokens, "temperature": c.temperature, "top_p": c.top_p, "stream": False}
 
     def generate(self, prompt: str, content: list[dict] | None = None) -> str:
         if not content:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions import rng
-from quern.storage import bounded, prefix_sums
+from quern.storage import bounded, prefix_sums, stored, up_to, with_positions
 
 
 def active_sources(sources: DataFrame, names: list[str] | None = None) -> DataFrame:
@@ -23,38 +23,68 @@ def interleave(rows: DataFrame, sources: DataFrame, source_col: str, order: list
     and max_records.  Rows of sources that aren't listed are left out.  ``order`` must be unique within a source.
     """
     spec = bounded(sources.select(F.col("id").alias("_id"), "source_order", F.col("max_records").alias("_own")))
-    r = rows.join(spec, F.col(source_col) == F.col("_id")).withColumn("_ok", F.coalesce(accepted if accepted is not None else F.lit(True), F.lit(False)))
-    r = prefix_sums(r, order, [source_col], _accepted=F.col("_ok").cast("bigint")).withColumnRenamed("ordinal", "raw_index")
+    ok = F.coalesce(accepted if accepted is not None else F.lit(True), F.lit(False))
+    keys = [source_col, *order]
+    r = rows.select(*keys, ok.alias("_ok")).join(spec, F.col(source_col) == F.col("_id"))
+    at = prefix_sums(r.select(*keys, "source_order", "_own", "_ok"), [*order, "source_order", "_own", "_ok"], [source_col], _accepted=F.col("_ok").cast("bigint"))
     quota = F.when(F.coalesce("_own", F.lit(0)) > 0, F.col("_own")).otherwise(F.lit(per_source))
-    kept = r.where(F.col("_ok") & ((quota <= 0) | (F.col("_accepted") < quota))).drop("_id", "_own", "_ok", "_accepted")
-    if total > 0:
-        kept = kept.orderBy("raw_index", "source_order").limit(total)
-    return prefix_sums(kept, ["raw_index", "source_order"]).withColumnRenamed("ordinal", "position")
+    kept = at.where(F.col("_ok") & ((quota <= 0) | (F.col("_accepted") < quota))).select(*keys, "source_order", F.col("ordinal").alias("raw_index"))
+    turn = ["raw_index", "source_order"]
+    if total > 0:  # the limit has brought the rows to one task already
+        kept = kept.orderBy(*turn).limit(total).withColumn("position", (F.row_number().over(Window.orderBy(*turn)) - 1).cast("bigint"))
+    else:
+        kept = with_positions(kept, prefix_sums(kept, turn).withColumnRenamed("ordinal", "position"), turn, "position")
+    return with_positions(rows, kept, keys, "raw_index", "source_order", "position")
 
 
 def token_budget(df: DataFrame, order: list[str], tokens: Column, target: int, spent: int = 0) -> DataFrame:
-    """``df`` with ``tokens_before``: the rows before the budget is reached; the row that crosses it is kept.  0 is no limit; ``spent`` counts first."""
-    r = prefix_sums(df, order, tokens_before=tokens).drop("ordinal").withColumn("tokens_before", F.col("tokens_before") + spent)
-    return r.where(F.col("tokens_before") < target) if target > 0 else r
+    """``df`` with ``tokens_before``: the rows before the budget is reached; the row that crosses it is kept.  0 is no limit; ``spent`` counts first.
+
+    Only order and counts are sorted; rows beyond the budget are filtered where they are read."""
+    at = prefix_sums(df, order, tokens_before=tokens).withColumn("tokens_before", F.col("tokens_before") + spent)
+    return _within(df, at, order, "tokens_before", target)
 
 
 def block_budget(df: DataFrame, order: list[str], n_blocks: Column, target: int) -> DataFrame:
     """``df`` with ``first_block`` and ``kept_blocks`` of the records that are read until ``target`` blocks are written."""
-    r = prefix_sums(df, order, first_block=n_blocks).drop("ordinal").where(F.col("first_block") < target)
+    r = _within(df, prefix_sums(df, order, first_block=n_blocks), order, "first_block", target)
     return r.withColumn("kept_blocks", F.least(n_blocks, F.lit(target) - F.col("first_block")))
 
 
+def _within(df: DataFrame, at: DataFrame, order: list[str], measure: str, target: int) -> DataFrame:
+    if target > 0:
+        at = at.where(F.col(measure) < target)
+        if not set(df.columns) <= set(order):
+            at = stored(at)
+            last = at.orderBy(*[F.desc(o) for o in order]).first()
+            df = up_to(df, order, last)
+    return with_positions(df, at, order, measure)
+
+
 def seeded_shuffle(df: DataFrame, seed: int, *keys: str) -> DataFrame:
-    """``df`` with ``position`` in a permutation that depends on the seed and keys only."""
-    r = df.withColumn("_k", rng.order_key(seed, *[F.col(k) for k in keys]))
-    return prefix_sums(r, ["_k", *keys]).withColumnRenamed("ordinal", "position").drop("_k")
+    """``df`` with ``position`` in a permutation that depends on the seed and keys only; only the keys are sorted."""
+    k = df.select(rng.order_key(seed, *[F.col(k) for k in keys]).alias("_k"), *keys)
+    return with_positions(df, prefix_sums(k, ["_k", *keys]).withColumnRenamed("ordinal", "position"), list(keys), "position")
 
 
 def train_val_split(df: DataFrame, fraction: float, seed: int, *keys: str) -> DataFrame:
-    """``df`` with ``split``: the first min(max(1, int(n * fraction)), n - 1) rows of a seeded permutation are ``val``; of one row none is."""
+    """``df`` with ``split``: the first min(max(1, int(n * fraction)), n - 1) rows of a seeded permutation are ``val``; of one row none is.
+
+    The last of them is found by its place among the keys; the rows themselves are only compared with it."""
     n = df.count()
     cut = min(max(1, int(n * fraction)), n - 1) if n > 1 else 0
-    return seeded_shuffle(df, seed, *keys).withColumn("split", F.when(F.col("position") < cut, "val").otherwise("train")).drop("position")
+    k = rng.order_key(seed, *[F.col(k) for k in keys])
+    if cut == 0:
+        return df.withColumn("split", F.lit("train"))
+    at = prefix_sums(df.select(k.alias("_k"), *keys), ["_k", *keys])
+    last = at.where(F.col("ordinal") == cut - 1).first()
+    val = k < last["_k"]
+    equal = k == last["_k"]
+    for name in keys:
+        v = F.lit(last[name]).cast(df.schema[name].dataType)
+        val = val | (equal & (F.col(name) < v))
+        equal = equal & (F.col(name) == v)
+    return df.withColumn("split", F.when(F.coalesce(val | equal, F.lit(False)), "val").otherwise("train"))
 
 
 def progress(output: DataFrame, order: list[str], tokens: str = "estimated_tokens", id_col: str = "id") -> DataFrame:
@@ -76,6 +106,12 @@ def resume(todo: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
     return todo.join(done.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
 
 
+def policy_filter(records: DataFrame, policy: str, avoid: list[str], source_col: str = "prompt_source") -> DataFrame:
+    """Records whose metadata names the target policy and whose source isn't one to avoid; a null source isn't."""
+    named = F.coalesce(F.col("metadata")["target_policy"] == policy, F.lit(False))
+    return records.where(named & ~F.coalesce(F.col(source_col).isin(*avoid), F.lit(False)))
+
+
 def counts_by(df: DataFrame, column: str, total: str = "(total)") -> DataFrame:
     """(column, records) with a row for the total; null is its own group ''."""
     g = F.coalesce(F.col(column).cast("string"), F.lit(""))

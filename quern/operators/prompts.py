@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.functions.text import CONTEXT_FIELDS, MESSAGE_FIELDS, MESSAGE_ROLE_FIELDS, MESSAGE_TEXT_FIELDS, PROMPT_FIELDS, USER_ROLES, clean_text, first_text, is_context_role, media_values, message_role, message_text
+from quern.functions.text import CONTEXT_FIELDS, MESSAGE_FIELDS, MESSAGE_ROLE_FIELDS, MESSAGE_TEXT_FIELDS, PROMPT_FIELDS, USER_ROLES, clean_text, first_text, is_context_role, media_values, message_role, message_text, strip
 
 MESSAGE = T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in (*MESSAGE_ROLE_FIELDS, *MESSAGE_TEXT_FIELDS)]))
 # The instruction of context rows without one of their own, the role of sources without one, the policy tag.
@@ -108,19 +108,32 @@ def first_user_turn(turns: DataFrame, conversation: str = "conv_id", turn: str =
 
     Two partial aggregates; no conversation is collected."""
     text = first_text("text")
-    mine = F.lower(F.trim("role")).isin(*USER_ROLES) & (text != "")
+    mine = F.lower(strip("role")).isin(*USER_ROLES) & (text != "")
     a = turns.groupBy(conversation).agg(F.min_by(text, F.when(mine, F.col(turn))).alias("user"), F.min_by(text, F.col(turn)).alias("first"))
     return a.select(conversation, F.coalesce("user", "first").alias("prompt_text"))
 
 
 def first_user_turns(turns: DataFrame, n: int = 3, conversation: str = "conv_id", turn: str = "turn") -> DataFrame:
     """(conversation, context_text): the first ``n`` user turns in order, joined by a blank line; blank ones count but are left out."""
-    mine = turns.where(F.lower(F.trim("role")).isin(*USER_ROLES))
+    mine = turns.where(F.lower(strip("role")).isin(*USER_ROLES))
     rank = mine.withColumn("_n", F.row_number().over(Window.partitionBy(conversation).orderBy(turn))).where(f"_n <= {n}")
     kept = F.filter(F.array_sort(F.collect_list(F.struct("_n", first_text("text").alias("t")))), lambda x: x["t"] != "")
     return rank.groupBy(conversation).agg(F.array_join(F.transform(kept, lambda x: x["t"]), "\n\n").alias("context_text"))
 
 
+def previous_roles(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """Turns (role) with ``previous_role``: the role of the nearest earlier turn that isn't a tool's; null if there is none."""
+    w = Window.partitionBy(conversation).orderBy(turn).rowsBetween(Window.unboundedPreceding, -1)
+    return turns.withColumn("previous_role", F.last(F.when(F.col("role") != "tool", F.col("role")), ignorenulls=True).over(w))
+
+
+def after_last_user(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """Turns (role) with ``turn_index`` from 0, ``last_user_index`` (-1 if no user speaks) and ``after_last_user``."""
+    t = turns.withColumn("turn_index", F.row_number().over(Window.partitionBy(conversation).orderBy(turn)) - 1)
+    last = F.max(F.when(F.col("role") == "user", F.col("turn_index"))).over(Window.partitionBy(conversation))
+    return t.withColumn("last_user_index", F.coalesce(last, F.lit(-1))).withColumn("after_last_user", F.col("turn_index") > F.col("last_user_index"))
+
+
 def render_chat(turns: DataFrame, bos: str = "<bos>", conversation: str = "conv_id", turn: str = "turn", generation_prompt: bool = False) -> DataFrame:
     """(conversation, rendered): turns in chat-template form; assistant turns that follow each other are one turn.
 

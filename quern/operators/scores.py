@@ -28,6 +28,13 @@ def entropy_accept(positions: DataFrame, bound: float, batch: str, row: str, pos
     return r.withColumn("next_id", F.when(F.col("accepted"), F.col("top").cast("bigint")).otherwise(fresh)).drop("_any", "_least")
 
 
+def step_summary(positions: DataFrame, bound: float, group: list[str]) -> DataFrame:
+    """(group, mean_entropy, accepted_fraction) of positions (entropy): how sure a step was, and which share of its positions is within the bound.
+    Null entropies count as positions that aren't."""
+    ok = F.coalesce((F.col("entropy") <= bound).cast("double"), F.lit(0.0))
+    return positions.groupBy(*group).agg(F.avg("entropy").alias("mean_entropy"), F.avg(ok).alias("accepted_fraction"))
+
+
 def loss(df: DataFrame, scores: str, label: str) -> DataFrame:
     """One row (rows, loss): mean cross entropy over rows with a label, NaN without any."""
     ce = arrays.cross_entropy(scores, label)

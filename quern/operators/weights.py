@@ -121,6 +121,11 @@ def memory_floor(parameters: Column, bytes_per_parameter: float) -> Column:
     return F.bround(parameters * bytes_per_parameter / float(1 << 30), 2)
 
 
+def activation_floor(layers: Column, hidden: Column, length: int = 256, bytes_per_value: int = 2, copies: int = 8) -> Column:
+    """GiB to two digits that the activations of one sequence take."""
+    return F.bround(layers * hidden * float(length * bytes_per_value * copies) / float(1 << 30), 2)
+
+
 def ordered_first(df: DataFrame, group: str, order: str) -> DataFrame:
     """The first candidate per group."""
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy(order))).where("_n = 1").drop("_n")

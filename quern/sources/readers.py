@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import io
 import json
 import os
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +17,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from quern.functions.text import media_values
 from quern.operators.flow import seeded_shuffle
-from quern.storage import prefix_sums
+from quern.storage import prefix_sums, with_positions
 
 MESSAGE = "array<struct<role:string,`from`:string,speaker:string,content:string,value:string,text:string,message:string>>"
 SOURCE_CONFIG = (
@@ -35,6 +37,11 @@ def read_jsonl_open(spark: SparkSession, path: str, strict: bool = True) -> Data
     return lines.select((F.parse_json("value") if strict else F.try_parse_json("value")).alias("value"))
 
 
+def _file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path, local or with a scheme (file, hdfs, s3, gs), and the path within it."""
+    return fs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path))
+
+
 class _Chunk(InputPartition):
     def __init__(self, path: str, start: int, end: int):
         self.path, self.start, self.end = path, start, end
@@ -59,11 +66,18 @@ class _OffsetReader(DataSourceReader):
         self.path, self.chunk = path, chunk
 
     def partitions(self) -> list[_Chunk]:
-        files = [os.path.join(self.path, f) for f in sorted(os.listdir(self.path)) if not f.startswith(("_", "."))] if os.path.isdir(self.path) else [self.path]
-        return [_Chunk(f, s, s + self.chunk) for f in files for s in range(0, max(1, os.path.getsize(f)), self.chunk)]
+        out = []
+        for root in self.path.split(","):
+            system, path = _file_system(root)
+            info = system.get_file_info(path)
+            files = [info] if info.is_file else sorted((f for f in system.get_file_info(fs.FileSelector(path)) if f.is_file and not f.base_name.startswith(("_", "."))), key=lambda f: f.path)
+            scheme = root.split("://")[0] + "://" if "://" in root else ""
+            out += [_Chunk(scheme + f.path, s, s + self.chunk) for f in files for s in range(0, max(1, f.size), self.chunk)]
+        return out
 
     def read(self, partition: _Chunk) -> Iterator[tuple]:
-        with open(partition.path, "rb") as f:
+        system, path = _file_system(partition.path)
+        with io.BufferedReader(system.open_input_file(path), 1 << 20) as f:
             if partition.start:  # a line belongs to the chunk in which it starts
                 f.seek(partition.start - 1)
                 f.readline()
@@ -73,14 +87,22 @@ class _OffsetReader(DataSourceReader):
 
 
 def read_ordered(spark: SparkSession, path: str, record_order: str = "shuffled", seed: int = 1337) -> DataFrame:
-    """(path, offset, line, position): lines in file order for ``source``, else in a seeded permutation of their offsets."""
-    spark.dataSource.register(JsonLineOffsets)
-    lines = spark.read.format("jsonl_offsets").load(path)
+    """(path, offset, line, position): lines in file order for ``source``, else in a seeded permutation of their offsets.
+
+    Only offsets are sorted; the lines are read again and joined to their positions."""
+    lines = read_offsets(spark, path)
     if record_order == "source":
-        return prefix_sums(lines, ["path", "offset"]).withColumnRenamed("ordinal", "position")
+        at = prefix_sums(lines, ["path", "offset"]).withColumnRenamed("ordinal", "position")
+        return with_positions(lines, at, ["path", "offset"], "position")
     return seeded_shuffle(lines, seed, "path", "offset")
 
 
+def read_offsets(spark: SparkSession, *paths: str) -> DataFrame:
+    """(path, offset, line) of every non-blank line of files or folders."""
+    spark.dataSource.register(JsonLineOffsets)
+    return spark.read.format("jsonl_offsets").load(",".join(paths))
+
+
 def read_sources(spark: SparkSession, path: str) -> DataFrame:
     """Source specs of a configuration file, with ``source_order``, their place in it."""
     return spark.read.schema(SOURCE_CONFIG).json(path, multiLine=True).select(F.posexplode("sources").alias("source_order", "s")).select("source_order", "s.*")
@@ -92,18 +114,35 @@ def manifest_path(source: dict, folder: str = "data/manifests") -> str:
 
 
 def read_manifests(spark: SparkSession, sources: list[dict], schema: T.StructType | str, folder: str = "data/manifests") -> tuple[DataFrame | None, list[dict]]:
-    """(rows with ``source_id``, failures): one source that can't be read doesn't stop the others; an error if none can."""
-    out, failed = None, []
-    for s in sources:
+    """(rows with ``source_id``, ``source_order`` and ``raw_order``, failures): one source that can't be read doesn't stop the others; an error if none can be opened.
+
+    A source whose manifest is missing gives no row; one with a malformed line gives the rows before that line.  Both are reported.
+    ``raw_order`` is a line's offset, unique and ascending within a source."""
+    failed, live = [], []
+    for k, s in enumerate(sources):
         p = manifest_path(s, folder)
-        if not os.path.exists(p):
+        system, path = _file_system(p)
+        if not system.get_file_info(path).is_file:
             failed.append({"source": s["id"], "error": f"no such manifest: {p}"})
-            continue
-        rows = read_jsonl(spark, p, schema).withColumn("source_id", F.lit(s["id"]))
-        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
-    if out is None and sources:
-        raise RuntimeError(f"no source could be opened: {json.dumps(failed)}")
-    return out, failed
+        else:
+            live.append((k, s["id"], path))
+    if not live:
+        if sources:
+            raise RuntimeError(f"no source could be opened: {json.dumps(failed)}")
+        return None, failed
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    lines = read_offsets(spark, *[manifest_path(s, folder) for s in sources if s["id"] in {x[1] for x in live}])
+    names = spark.createDataFrame(live, "source_order int, source_id string, _path string")
+    bare = F.regexp_replace("path", r"^[a-z0-9]+://", "")
+    open_schema = T.StructType([*kind.fields, T.StructField("_bad", T.StringType())])
+    rows = lines.join(F.broadcast(names), bare == F.col("_path")).withColumn("_r", F.from_json("line", open_schema, {"columnNameOfCorruptRecord": "_bad"}))  # one row per source
+    bad = rows.where(F.col("_r").isNull() | F.col("_r._bad").isNotNull()).groupBy("source_id").agg(F.min("offset").alias("_stop"))
+    stops = {r["source_id"]: r["_stop"] for r in bad.collect()}  # at most one row per source
+    failed += [{"source": k, "error": f"malformed line at byte {v}"} for k, v in sorted(stops.items())]
+    if stops:
+        cut = F.create_map(*[F.lit(x) for kv in stops.items() for x in kv])
+        rows = rows.where(F.col("offset") < F.coalesce(cut[F.col("source_id")], F.lit((1 << 63) - 1)))
+    return rows.select("_r.*", "source_id", "source_order", F.col("offset").alias("raw_order")).drop("_bad"), failed
 
 
 def read_mirror(spark: SparkSession, root: str, source: dict, format: str = "parquet") -> DataFrame:
@@ -114,7 +153,8 @@ def read_mirror(spark: SparkSession, root: str, source: dict, format: str = "par
 
 def read_files(spark: SparkSession, root: str) -> DataFrame:
     """(path, bytes, sha256) of all files below ``root`` without compiled Python; a missing folder has none."""
-    if "://" not in root and not os.path.exists(root):
+    system, path = _file_system(root)
+    if system.get_file_info(path).type == fs.FileType.NotFound:
         return spark.createDataFrame([], "path string, bytes bigint, sha256 string")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     kept = files.where(~F.col("path").rlike(r"/__pycache__/|\.py[co]$"))
@@ -130,8 +170,24 @@ def read_media(spark: SparkSession, records: DataFrame, keys: tuple[str, ...], r
     return wanted.join(files, full == F.col("_file")).select(id_col, "index", "path", "content")
 
 
+def decode_images(media: DataFrame) -> DataFrame:
+    """(id, index, path, height, width, rgb): images as rows of RGB bytes.  PNG of eight bits a sample and binary PPM are decoded here,
+    other formats by the image library where one is installed; what can't be decoded gives nulls."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from quern.sources.images import decode
+
+        for b in batches:
+            got = [decode(c) for c in b.column(3).to_pylist()]
+            columns = [pa.array([g[k] if g else None for g in got], t) for k, t in enumerate((pa.int32(), pa.int32(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), *columns], ["id", "index", "path", "height", "width", "rgb"])
+
+    return media.select("id", "index", "path", "content").mapInArrow(run, "id string, index int, path string, height int, width int, rgb binary")
+
+
 def decode_audio(media: DataFrame) -> DataFrame:
-    """(id, index, path, sampling_rate, samples): PCM WAV files as float samples, channels averaged; other formats give null samples."""
+    """(id, index, path, sampling_rate, samples): PCM WAV files as float samples, channels averaged; other formats give null samples.
+    A rate declared for the item (column ``declared_rate``) goes before the file's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import io
@@ -152,9 +208,17 @@ def decode_audio(media: DataFrame) -> DataFrame:
                 except (wave.Error, EOFError, KeyError, TypeError):
                     rates.append(None)
                     samples.append(None)
+            rates = [d or r for d, r in zip(b.column(4).to_pylist(), rates)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(rates, pa.int32()), pa.array(samples, pa.list_(pa.float32()))], ["id", "index", "path", "sampling_rate", "samples"])
 
-    return media.select("id", "index", "path", "content").mapInArrow(run, "id string, index int, path string, sampling_rate int, samples array<float>")
+    declared = (F.col("declared_rate") if "declared_rate" in media.columns else F.lit(None)).cast("int").alias("declared_rate")
+    return media.select("id", "index", "path", "content", declared).mapInArrow(run, "id string, index int, path string, sampling_rate int, samples array<float>")
+
+
+def encoder_inputs(shards: DataFrame) -> DataFrame:
+    """The columns of shard rows that an encoder reads, those that are there."""
+    names = ("prefix_ids", "attention_mask", "prefix_lens", "pixel_values", "input_features", "input_features_mask", "image_position_ids", "mm_token_type_ids")
+    return shards.select(*[n for n in names if n in shards.columns])
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
@@ -166,14 +230,30 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     return s.withColumn("attention_mask", F.concat(F.array_repeat(F.lit(0), pad), F.array_repeat(F.lit(1), kept)))
 
 
+# Fixed value: the file that names the newest checkpoint of a folder.
+POINTER = "latest_checkpoint.txt"
+
+
 def latest_checkpoint(folder: str) -> str | None:
-    """The path that the pointer file ``latest`` of a folder names, if it exists."""
-    p = os.path.join(folder, "latest")
-    if not os.path.exists(p):
+    """The path that the pointer file of a folder names, as it is or below the folder, if it exists."""
+    system, root = _file_system(folder)
+    pointer = f"{root}/{POINTER}"
+    if not system.get_file_info(pointer).is_file:
         return None
-    with open(p) as f:
-        at = os.path.join(folder, f.read().strip())
-    return at if os.path.exists(at) else None
+    with system.open_input_file(pointer) as f:
+        named = f.read().decode().strip()
+    for p in (named, f"{folder.rstrip('/')}/{named}"):
+        there, path = _file_system(p)
+        if named and there.get_file_info(path).type != fs.FileType.NotFound:
+            return p
+    return None
+
+
+def read_base_config(spark: SparkSession, path: str) -> DataFrame:
+    """(config VARIANT) of a base model's configuration file; a configuration without ``text_config`` is an error."""
+    c = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("config"))
+    has = F.variant_get("config", "$.text_config", "variant").isNotNull()
+    return c.where(F.when(has, True).otherwise(F.raise_error(F.lit(f"no text_config in {path}")).cast("boolean")))
 
 
 def log_tail(log: DataFrame, n: int = 20, step: str = "step") -> DataFrame:

@@ -14,10 +14,10 @@ from quern.operators.contract import validated
 
 
 def write_jsonl(df: DataFrame, path: str, source: str = "source") -> dict:
-    """Overwrite ``path`` with JSON lines; counts in total and by source come from the same pass or the written rows."""
+    """Overwrite ``path`` with JSON lines; counts in total and by source.  Only the source's column of the written rows is read again."""
     seen = Observation()
     df.observe(seen, F.count("*").alias("records")).write.mode("overwrite").json(path)
-    by = df.sparkSession.read.json(path).groupBy(source).count().collect() if seen.get["records"] else []
+    by = df.sparkSession.read.schema(df.select(source).schema).json(path).groupBy(source).count().collect() if seen.get["records"] else []
     return {"records": seen.get["records"], "output": path, "by_source": {r[source]: r["count"] for r in by}}
 
 
@@ -80,6 +80,16 @@ def write_bundle(files: DataFrame, path: str, root: str) -> dict:
     return summary
 
 
+def write_report(report: DataFrame, path: str) -> None:
+    """Overwrite ``path`` with a report of one row as JSON: progress, totals, transplant or validation reports, configurations."""
+    report.limit(1).coalesce(1).write.mode("overwrite").json(path)
+
+
+def append_log(steps: DataFrame, path: str) -> None:
+    """Append step rows as JSON lines; nulls are left out of a line."""
+    steps.write.mode("append").json(path)
+
+
 def report_json(report: DataFrame) -> DataFrame:
     """(json) of each row of a report."""
     return report.select(F.to_json(F.struct("*")).alias("json"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -44,26 +44,23 @@ def bounded(df: DataFrame, rows: int = 10_000) -> DataFrame:
 
 
 def prefix_sums(df: DataFrame, order: list[str], group: list[str] | None = None, **sums: Column) -> DataFrame:
-    """``df`` with ``ordinal`` (0-based) and, per keyword, the sum of that expression over all earlier rows, by ``order`` within ``group``.
+    """(group, order, ordinal, sums): the 0-based ``ordinal`` and, per keyword, the sum of that expression over all earlier rows, by ``order`` within ``group``.
 
-    Two levels: the rows are range-partitioned by group and order and stored; per slice there is a total; the totals' running
-    sums are added to windows within slices.  A hot group is spread over slices like everything else.  Nulls in a summed
-    expression count as 0; rows that tie in ``order`` follow each other in an arbitrary but fixed way, so give a unique one.
+    Only keys and measures are sorted, stored and returned; ``with_positions`` joins them to the rest of a row.  Two levels: the rows are
+    range-partitioned by group and order and stored; per slice there is a total; the totals' running sums are added to
+    windows within slices.  A hot group is spread over slices like everything else.  Nulls in a summed expression count as 0; rows that
+    tie in ``order`` follow each other in an arbitrary but fixed way, so give a unique one.
     """
     group = group or []
+    kept = [*group, *(o for o in order if o not in group)]
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    kept = df.columns
-    for k, v in sums.items():
-        df = df.withColumn(f"_v_{k}", F.coalesce(v, F.lit(0)))
-    s = stored(df.repartitionByRange(n, *group, *order).withColumn("_slice", F.spark_partition_id()))
+    narrow = df.select(*kept, *[F.coalesce(v, F.lit(0)).alias(f"_v_{k}") for k, v in sums.items()])
+    s = stored(narrow.repartitionByRange(n, *kept).withColumn("_slice", F.spark_partition_id()))
     totals = s.groupBy("_slice", *group).agg(F.count("*").alias("_n"), *[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in sums])
     earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     zero = lambda c: F.coalesce(c, F.lit(0))
     # slices are few: at most the number of partitions plus the number of groups
     offsets = totals.select("_slice", *[F.col(g).alias(f"_g_{g}") for g in group], zero(F.sum("_n").over(earlier)).alias("_o"), *[zero(F.sum(f"_t_{k}").over(earlier)).alias(f"_o_{k}") for k in sums])
-    on = s["_slice"] == offsets["_slice"]
-    for g in group:
-        on = on & s[g].eqNullSafe(offsets[f"_g_{g}"])
     within = Window.partitionBy("_slice", *group).orderBy(*order)
     before = within.rowsBetween(Window.unboundedPreceding, -1)
     local = s.withColumn("_r", F.row_number().over(within) - 1)
@@ -73,3 +70,30 @@ def prefix_sums(df: DataFrame, order: list[str], group: list[str] | None = None,
     for g in group:
         on = on & local[g].eqNullSafe(offsets[f"_g_{g}"])
     return local.join(offsets, on).select(*[local[c] for c in kept], (F.col("_r") + F.col("_o")).alias("ordinal"), *[(F.col(f"_l_{k}") + F.col(f"_o_{k}")).alias(k) for k in sums])
+
+
+def with_positions(df: DataFrame, positions: DataFrame, keys: list[str], *columns: str) -> DataFrame:
+    """``df`` with ``columns`` of ``positions``, joined on unique ``keys``, which may be null; rows without a position are left out."""
+    if set(df.columns) <= set(keys):
+        return positions.select(*df.columns, *columns)
+    p = positions.select(*[F.col(k).alias(f"_p_{i}") for i, k in enumerate(keys)], *columns)
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_p_{i}"))
+    return df.join(p, on).select(*[df[c] for c in df.columns], *columns)
+
+
+def up_to(df: DataFrame, order: list[str], last: Row | None) -> DataFrame:
+    """The rows of ``df`` whose ``order`` isn't after that of ``last``, by a filter; none if there is no last row."""
+    if last is None:
+        return df.limit(0)
+    keep, equal = F.lit(False), F.lit(True)
+    for o in order:  # nulls come first
+        v = last[o]
+        kind = df.select(o).schema[0].dataType
+        here = F.col(o)
+        keep = keep | (equal & (here.isNull() if v is not None else F.lit(False)))
+        if v is not None:
+            keep = keep | (equal & F.coalesce(here < F.lit(v).cast(kind), F.lit(False)))
+        equal = equal & here.eqNullSafe(F.lit(v).cast(kind))
+    return df.where(keep | equal)

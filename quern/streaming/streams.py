@@ -25,12 +25,17 @@ def table_stream(spark: SparkSession, folder: str, table: str, files_per_trigger
 
 
 def append_records(stream: DataFrame, output: str, quarantine: str, checkpoint: str, key: str = "id", time: str | None = None, late: str = "1 day") -> StreamingQuery:
-    """Validate each batch and append it; repeated keys are dropped within the watermark, or in general without a time column.
+    """Validate each batch and append it; repeated keys are dropped within the watermark, or without a time column against the keys written so
+    far, which are read from the output and its quarantine: no state grows.
 
     Batches are written under their number, so a replayed batch overwrites itself: each row arrives once."""
-    s = stream.withWatermark(time, late).dropDuplicatesWithinWatermark([key]) if time else stream.dropDuplicates([key])
+    s = stream.withWatermark(time, late).dropDuplicatesWithinWatermark([key]) if time else stream
 
     def write(batch: DataFrame, number: int) -> None:
+        if not time:
+            batch = batch.dropDuplicates([key])
+            for path in (output, quarantine):
+                batch = _unwritten(batch, path, key, number)
         b = batch.withColumn("violation", violation()).persist()
         b.where("violation is null").drop("violation").write.mode("overwrite").json(f"{output}/batch={number}")
         b.where("violation is not null").write.mode("overwrite").json(f"{quarantine}/batch={number}")
@@ -39,6 +44,16 @@ def append_records(stream: DataFrame, output: str, quarantine: str, checkpoint:
     return s.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _unwritten(batch: DataFrame, path: str, key: str, number: int) -> DataFrame:
+    """Rows whose key no earlier batch has written below ``path``."""
+    spark = batch.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return batch
+    done = spark.read.schema(f"`{key}` {batch.schema[key].dataType.simpleString()}, batch int").json(path).where(F.col("batch") < number)
+    return batch.join(done.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
+
+
 def running_totals(stream: DataFrame, by: list[str], **sums: Column) -> DataFrame:
     """Totals per key, for update or complete mode."""
     return stream.groupBy(*by).agg(F.count("*").alias("records"), *[F.sum(v).alias(k) for k, v in sums.items()])
