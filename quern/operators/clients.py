@@ -58,6 +58,10 @@ class Completions:
         return got["choices"][0]["message"]["content"]
 
 
+# Runtimes that take text alone.
+TEXT_ONLY = ("ollama",)
+
+
 class Ollama:
     """The raw generate endpoint; it takes no media."""
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions.text import estimate_tokens, strip
+from quern.operators.clients import TEXT_ONLY
 from quern.operators.prompts import media_count
 
 TEACHER_RECORD = T.StructType(
@@ -27,6 +28,11 @@ def violation() -> Column:
     return F.when(blank("prompt_text") & blank("context_text") & ~media, "no_prompt").when(F.coalesce("prompt_source", F.lit("")) == "prompt_free", "prompt_free").when(blank("text"), "no_text")
 
 
+def media_refused(runtime: str = "runtime") -> Column:
+    """Whether a record's runtime can't be asked because it takes no media."""
+    return F.coalesce(F.col(runtime).isin(*TEXT_ONLY) & (media_count("media") > 0), F.lit(False))
+
+
 def validated(records: DataFrame, strict: bool = True) -> DataFrame:
     """Strict: the records, and the job fails on the first violation.  Lenient: the records with a ``violation`` column to route them by."""
     if not strict:

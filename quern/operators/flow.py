@@ -106,6 +106,11 @@ def resume(todo: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
     return todo.join(done.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
 
 
+def first_batches(df: DataFrame, order: list[str], size: int, batches: int) -> DataFrame:
+    """The rows of the first ``batches`` batches of ``size`` rows in ``order``; 0 batches is no limit."""
+    return df.orderBy(*order).limit(size * batches) if batches > 0 else df
+
+
 def policy_filter(records: DataFrame, policy: str, avoid: list[str], source_col: str = "prompt_source") -> DataFrame:
     """Records whose metadata names the target policy and whose source isn't one to avoid; a null source isn't."""
     named = F.coalesce(F.col("metadata")["target_policy"] == policy, F.lit(False))

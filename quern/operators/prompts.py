@@ -80,8 +80,9 @@ def collected_media(df: DataFrame) -> Column:
     return F.map_filter(out, lambda k, v: F.size(v) > 0)
 
 
-def prompt_records(rows: DataFrame, sources: DataFrame, source_col: str, key: list[str], max_chars: int = 12_000) -> DataFrame:
-    """Rows joined to their source's spec as prompt records; rows with neither prompt nor context are dropped.
+def prompt_records(rows: DataFrame, sources: DataFrame, source_col: str, key: list[str], max_chars: int = 12_000, flagged: bool = False) -> DataFrame:
+    """Rows joined to their source's spec as prompt records; rows with neither prompt nor context are dropped, or where ``flagged`` kept
+    beside ``accepted``, with ``source_col`` and ``key``.
 
     Rows of context roles need a context; their prompt is the source's ``teacher_prompt`` or a default.  A context equal
     to the prompt is emptied.  ids are hashed from the source and ``key``, so a retry gives the same ones.  Null sources and
@@ -94,12 +95,14 @@ def prompt_records(rows: DataFrame, sources: DataFrame, source_col: str, key: li
     only = is_context_role("_role")
     prompt = F.when(only, first_text("_teacher", F.lit(DEFAULT_TEACHER_PROMPT))).otherwise(F.col("_prompt"))
     j = j.withColumn("prompt_text", F.when(only, prompt).otherwise(clean_text(prompt, max_chars))).withColumn("context_text", clean_text("_context", max_chars))
-    j = j.where(F.when(only, F.col("context_text") != "").otherwise((F.col("prompt_text") != "") | (F.col("context_text") != "")))
+    accepted = F.when(only, F.col("context_text") != "").otherwise((F.col("prompt_text") != "") | (F.col("context_text") != ""))
+    extra = [*dict.fromkeys([source_col, *key]), accepted.alias("accepted")] if flagged else []
+    j = j if flagged else j.where(accepted)
     same = F.col("context_text") == F.col("prompt_text")
     return j.select(
         F.sha2(F.concat_ws("|", "_source", *key), 256).alias("id"), F.col("_source").alias("source"), F.col("_role").alias("role"), F.coalesce("_modality", F.lit("text")).alias("modality"),
         "prompt_text", F.when(same, "").otherwise(F.col("context_text")).alias("context_text"), F.col("_media").alias("media"),
-        F.struct(F.col("_source").alias("dataset"), F.col("_license").alias("license_hint"), F.lit(TARGET_POLICY).alias("target_policy")).alias("metadata"),
+        F.struct(F.col("_source").alias("dataset"), F.col("_license").alias("license_hint"), F.lit(TARGET_POLICY).alias("target_policy")).alias("metadata"), *extra,
     )
 
 

@@ -28,6 +28,12 @@ def entropy_accept(positions: DataFrame, bound: float, batch: str, row: str, pos
     return r.withColumn("next_id", F.when(F.col("accepted"), F.col("top").cast("bigint")).otherwise(fresh)).drop("_any", "_least")
 
 
+def within_steps(log: DataFrame, step: str, max_steps: int = 0, tokens: str | None = None, max_tokens: int = 0) -> DataFrame:
+    """The steps that a loop with these bounds makes: up to ``max_steps``, and as long as fewer than ``max_tokens`` were made before (column ``tokens``); 0 is no bound."""
+    keep = (F.col(step) <= max_steps) if max_steps > 0 else F.lit(True)
+    return log.where(keep & (F.col(tokens) < max_tokens)) if tokens and max_tokens > 0 else log.where(keep)
+
+
 def step_summary(positions: DataFrame, bound: float, group: list[str]) -> DataFrame:
     """(group, mean_entropy, accepted_fraction) of positions (entropy): how sure a step was, and which share of its positions is within the bound.
     Null entropies count as positions that aren't."""

@@ -527,3 +527,6 @@ def event_windows(spark, d):
 @query("select event_id as step, event_type, user_id from events order by event_id desc limit 20")
 def log_tail(spark, d):
     return readers.log_tail(table(spark, d, "events").select(F.col("event_id").alias("step"), "event_type", "user_id"))
+
+
+from quern import queries_io, queries_values  # noqa: E402, F401  they add their queries to the tables above

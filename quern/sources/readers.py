@@ -39,6 +39,8 @@ def read_jsonl_open(spark: SparkSession, path: str, strict: bool = True) -> Data
 
 def _file_system(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path, local or with a scheme (file, hdfs, s3, gs), and the path within it."""
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
     return fs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path))
 
 
@@ -71,7 +73,7 @@ class _OffsetReader(DataSourceReader):
             system, path = _file_system(root)
             info = system.get_file_info(path)
             files = [info] if info.is_file else sorted((f for f in system.get_file_info(fs.FileSelector(path)) if f.is_file and not f.base_name.startswith(("_", "."))), key=lambda f: f.path)
-            scheme = root.split("://")[0] + "://" if "://" in root else ""
+            scheme = root.split("://")[0] + "://" if "://" in root and not root.startswith("file:") else ""
             out += [_Chunk(scheme + f.path, s, s + self.chunk) for f in files for s in range(0, max(1, f.size), self.chunk)]
         return out
 
@@ -114,15 +116,15 @@ def manifest_path(source: dict, folder: str = "data/manifests") -> str:
 
 
 def read_manifests(spark: SparkSession, sources: list[dict], schema: T.StructType | str, folder: str = "data/manifests") -> tuple[DataFrame | None, list[dict]]:
-    """(rows with ``source_id``, ``source_order`` and ``raw_order``, failures): one source that can't be read doesn't stop the others; an error if none can be opened.
+    """(rows with ``source_id``, ``source_order``, ``raw_path`` and ``raw_order``, failures): one source that can't be read doesn't stop the others; an error if none can be opened.
 
-    A source whose manifest is missing gives no row; one with a malformed line gives the rows before that line.  Both are reported.
-    ``raw_order`` is a line's offset, unique and ascending within a source."""
+    A manifest is a file or a folder of files.  A source whose manifest is missing gives no row; of a file with a malformed line the rows
+    before that line are read.  Both are reported.  ``raw_order`` is a line's offset in its file."""
     failed, live = [], []
     for k, s in enumerate(sources):
         p = manifest_path(s, folder)
         system, path = _file_system(p)
-        if not system.get_file_info(path).is_file:
+        if system.get_file_info(path).type == fs.FileType.NotFound:
             failed.append({"source": s["id"], "error": f"no such manifest: {p}"})
         else:
             live.append((k, s["id"], path))
@@ -132,17 +134,18 @@ def read_manifests(spark: SparkSession, sources: list[dict], schema: T.StructTyp
         return None, failed
     kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     lines = read_offsets(spark, *[manifest_path(s, folder) for s in sources if s["id"] in {x[1] for x in live}])
-    names = spark.createDataFrame(live, "source_order int, source_id string, _path string")
+    at = F.create_map(*[x for k, i, p in live for x in (F.lit(p), F.struct(F.lit(k).alias("k"), F.lit(i).alias("i")))])  # one entry per source
     bare = F.regexp_replace("path", r"^[a-z0-9]+://", "")
+    lines = lines.withColumn("_at", F.coalesce(F.try_element_at(at, bare), F.try_element_at(at, F.regexp_replace(bare, r"/[^/]*$", ""))))
     open_schema = T.StructType([*kind.fields, T.StructField("_bad", T.StringType())])
-    rows = lines.join(F.broadcast(names), bare == F.col("_path")).withColumn("_r", F.from_json("line", open_schema, {"columnNameOfCorruptRecord": "_bad"}))  # one row per source
-    bad = rows.where(F.col("_r").isNull() | F.col("_r._bad").isNotNull()).groupBy("source_id").agg(F.min("offset").alias("_stop"))
-    stops = {r["source_id"]: r["_stop"] for r in bad.collect()}  # at most one row per source
-    failed += [{"source": k, "error": f"malformed line at byte {v}"} for k, v in sorted(stops.items())]
+    rows = lines.select("path", "offset", F.col("_at.i").alias("source_id"), F.col("_at.k").alias("source_order"), F.from_json("line", open_schema, {"columnNameOfCorruptRecord": "_bad"}).alias("_r"))
+    bad = rows.where(F.col("_r").isNull() | F.col("_r._bad").isNotNull()).groupBy("source_id", "path").agg(F.min("offset").alias("_stop"))
+    stops = {(r["source_id"], r["path"]): r["_stop"] for r in bad.collect()}  # at most one row per file
+    failed += [{"source": k, "error": f"malformed line at byte {v} of {p}"} for (k, p), v in sorted(stops.items())]
     if stops:
-        cut = F.create_map(*[F.lit(x) for kv in stops.items() for x in kv])
-        rows = rows.where(F.col("offset") < F.coalesce(cut[F.col("source_id")], F.lit((1 << 63) - 1)))
-    return rows.select("_r.*", "source_id", "source_order", F.col("offset").alias("raw_order")).drop("_bad"), failed
+        cut = F.create_map(*[F.lit(x) for (_, p), v in stops.items() for x in (p, v)])
+        rows = rows.where(F.col("offset") < F.coalesce(F.try_element_at(cut, F.col("path")), F.lit((1 << 63) - 1)))
+    return rows.select("_r.*", "source_id", "source_order", F.col("path").alias("raw_path"), F.col("offset").alias("raw_order")).drop("_bad"), failed
 
 
 def read_mirror(spark: SparkSession, root: str, source: dict, format: str = "parquet") -> DataFrame:

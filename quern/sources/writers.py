@@ -5,8 +5,12 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import tarfile
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -32,6 +36,30 @@ def append_records(records: DataFrame, path: str, quarantine: str | None = None)
     r.where("violation is not null").write.mode("append").json(quarantine)
 
 
+def write_media(media: DataFrame, folder: str) -> DataFrame:
+    """(id, index, path) of media (id, kind, index, extension, content), each written to ``folder``/id_kind_index.extension by the task that holds it.
+
+    A row whose ``path`` (a column, where there is one) is set keeps it and isn't written; null contents without a path give a null path.  Names depend on the
+    row only, so a retried task writes the same files."""
+    given = (F.col("path") if "path" in media.columns else F.lit(None)).cast("string").alias("path")
+    rows = media.select(F.col("id").cast("string").alias("id"), "kind", F.col("index").cast("int").alias("index"), "extension", "content", given)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = fs.FileSystem.from_uri(folder if "://" in folder else os.path.abspath(folder.removeprefix("file:")))
+        system.create_dir(root, recursive=True)
+        for b in batches:
+            out = []
+            for key, kind, index, extension, content, path in zip(*(b.column(k).to_pylist() for k in range(6))):
+                if path is None and content is not None:
+                    path = f"{root}/{re.sub('[^A-Za-z0-9_.-]+', '_', key)}_{kind}_{index}.{extension}"
+                    with system.open_output_stream(path) as f:
+                        f.write(content)
+                out.append(path)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(out, pa.string())], ["id", "index", "path"])
+
+    return rows.mapInArrow(run, "id string, index int, path string")
+
+
 def write_shards(rows: DataFrame, path: str) -> None:
     """One folder per family and shard; a shard is written by one task, families and shards in parallel."""
     rows.repartition("family", "shard_id").write.mode("overwrite").partitionBy("family", "shard_id").parquet(path)

@@ -22,20 +22,40 @@ def shared_folder(spark: SparkSession) -> str:
     return named.get()
 
 
-def stored(df: DataFrame) -> DataFrame:
+_FOLDERS: list[str] = []  # of the tables that this process has stored
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A folder of its own below the shared one, deleted by ``drop_all``."""
+    _FOLDERS.append(f"{shared_folder(spark)}/table-{uuid.uuid4().hex}")
+    return _FOLDERS[-1]
+
+
+def stored(df: DataFrame, *partitions: str) -> DataFrame:
     """``df`` written as a table to the shared folder and read from there: its lineage ends, it is computed once, and a
-    lost executor costs none of it."""
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    lost executor costs none of it.  ``partitions``: columns by which parts of it can be read alone."""
+    path = new_folder(df.sparkSession)
+    (df.write.partitionBy(*partitions) if partitions else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_stored(df: DataFrame) -> None:
     """Delete the table of a ``stored`` DataFrame that no plan reads any more."""
-    spark = df.sparkSession
     for f in df.inputFiles()[:1]:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f).getParent()
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        for folder in [x for x in _FOLDERS if f"/{x.rsplit('/', 1)[-1]}/" in f]:
+            _delete(df.sparkSession, folder)
+            _FOLDERS.remove(folder)
+
+
+def drop_all(spark: SparkSession) -> None:
+    """Delete every stored table of this process: for long sessions, once their results are written."""
+    while _FOLDERS:
+        _delete(spark, _FOLDERS.pop())
 
 
 def bounded(df: DataFrame, rows: int = 10_000) -> DataFrame:
@@ -52,7 +72,7 @@ def prefix_sums(df: DataFrame, order: list[str], group: list[str] | None = None,
     tie in ``order`` follow each other in an arbitrary but fixed way, so give a unique one.
     """
     group = group or []
-    kept = [*group, *(o for o in order if o not in group)]
+    kept = list(dict.fromkeys([*group, *order]))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     narrow = df.select(*kept, *[F.coalesce(v, F.lit(0)).alias(f"_v_{k}") for k, v in sums.items()])
     s = stored(narrow.repartitionByRange(n, *kept).withColumn("_slice", F.spark_partition_id()))
