@@ -21,7 +21,7 @@ def decode(content: bytes | None) -> tuple[int, int, bytes] | None:
         if content[:2] == b"P6":
             return _ppm(content)
         return _library(content)
-    except (ValueError, IndexError, KeyError, OSError, zlib.error):
+    except (ValueError, IndexError, KeyError, TypeError, OSError, zlib.error):
         return None
 
 
@@ -55,6 +55,8 @@ def _png(content: bytes) -> tuple[int, int, bytes] | None:
             palette = np.frombuffer(body, np.uint8).reshape(-1, 3)
         elif kind == b"IDAT":
             data.append(body)
+    if head is None or not data:
+        return None
     w, h, depth, colour, interlaced = head
     if depth != 8 or interlaced:
         return _library(content)
