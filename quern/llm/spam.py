@@ -51,15 +51,21 @@ _HASHTAG = re.compile(r"#(?=\w)")
 _TOKEN = re.compile(r"[㐀-鿿]|[^\W\d_㐀-鿿]+|\x01")
 _TOKEN_ENDS = re.compile(r"[㐀-鿿]|[^\W\d_㐀-鿿]+|\x01|[.!?。！？](?=\s|$|[^\W\d_])")
 _FOREIGN = re.compile(r"[Ѐ-ӿ㐀-鿿]")
-_WORD = re.compile(r"[㐀-鿿]|[^\W_㐀-鿿]+")
-_SENTENCE = re.compile(r"[.!?](?=\s|$)|[。！？\n]")
+_HAN = re.compile(r"[㐀-鿿]")
+_WORD_OR_END = re.compile(r"[㐀-鿿]|[^\W_㐀-鿿]+|[.!?](?=\s|$)|[。！？\n]")
+_STOPS = frozenset(".!?。！？\n")
 _BREAK = re.compile(r"<br\s*/?>|</?p>", re.I)
 _HUMP = re.compile(r"(?<=[a-zà-öø-ÿ])(?=[A-ZÀ-ÖØ-Þ])")
 _RECORD = re.compile(
     r"^\s*\||(?:^|\s)\w+=\S+(?:\s+\w+=\S+)+|\b[0-9a-f]{16,}\b|^\s*\[\d+\]\s|^\s*[\w./-]+\.\w{2,5}\s+\d+\b"
     r"|^\s*(?:def|class|return|import|from|while|for|if|elif|with|assert|try|except|else|print)\b.*[:=()\[\]]|^\s*[\w.\[\]\", ]+ [-+*/]?= |^\s+[\w.]+\(.*\)$|^\s*(?:try|else|finally):$"
 )
-_RECORD_HINT = re.compile(r"[=|\[]|[0-9a-f]{16}|\.\w{2,5}\s+\d|:\n|^import|^from", re.M)
+_RECORD_MARKS = ("=", "|", "[", ":\n", "\nimport", "\nfrom")
+_RECORD_RUNS = re.compile(r"[0-9a-f]{16}"), re.compile(r"\.\w{2,5}\s+\d")
+
+
+def _may_hold_records(text: str) -> bool:
+    return text.startswith(("import", "from")) or any(m in text for m in _RECORD_MARKS) or any(r.search(text) for r in _RECORD_RUNS)
 
 
 def body(text: str) -> tuple[str, int]:
@@ -69,7 +75,7 @@ def body(text: str) -> tuple[str, int]:
         text = text.replace("\xa0", " ")
     if "<br" in text or "<p" in text:
         text = _BREAK.sub("\n", text)
-    if _RECORD_HINT.search(text):
+    if _may_hold_records(text):
         keep = []
         for line in text.split("\n"):
             if _RECORD.search(line[1:] if line[:1] == ">" else line):
@@ -128,12 +134,18 @@ def _numbered(toks: list[str]) -> np.ndarray:
 
 def repeated(text: str, records: int) -> bool:
     """Whether most of the text, record lines counted as content, says one phrase or some sentences ``REPEATS`` times or more."""
-    toks = _WORD.findall(text)
+    parts = _WORD_OR_END.findall(text)
+    toks = [t for t in parts if t not in _STOPS]
     n, distinct = len(toks), set(toks)
     if n < 3 * REPEATS or n <= records:
         return False
     if len(distinct) <= (1 - MOST + MOST / REPEATS) * n:  # else no such sentences fit
-        times = Counter(tuple(_WORD.findall(x)) for x in _SENTENCE.split(text))
+        times: Counter = Counter()
+        begin = 0
+        for k, t in enumerate([*parts, "."]):
+            if t in _STOPS:
+                times[tuple(parts[begin:k])] += 1
+                begin = k + 1
         if sum(len(x) * k for x, k in times.items() if k >= REPEATS and len(x) >= 3) >= MOST * (n + records):
             return True
     content = [t not in _FUNCTION for t in toks]
@@ -154,11 +166,10 @@ def profile(text: str, records: int) -> tuple[float, float]:
     n = len(toks)
     if not n:
         return 0.0, 0.0
-    last: dict[str, int] = {}
-    names: dict[str, int] = {}
+    seen: dict[str, tuple[int, int]] = {}  # number and last place of a word or pair of Han characters
     flags = [t in _FUNCTION for t in toks]
     spam = np.zeros(n, bool)
-    ids = np.zeros(n, np.int64)  # of words and pairs of Han characters
+    ids = [0] * n
     link = np.zeros(n, bool)
     hits = []
     for i, t in enumerate(toks):
@@ -174,9 +185,9 @@ def profile(text: str, records: int) -> tuple[float, float]:
             t, wide = toks[i - 1] + t, 1
         else:
             wide = 0
-        p = last.get(t, -99)
-        last[t] = i
-        ids[i] = names.setdefault(t, len(names) + 1)
+        number, p = seen.get(t) or (len(seen) + 1, -99)
+        seen[t] = number, i
+        ids[i] = number
         if i - p <= LAG:
             hits += (i - wide, i, p - wide, p)
     spam[hits] = True
@@ -184,7 +195,7 @@ def profile(text: str, records: int) -> tuple[float, float]:
     # lag windows with hardly a function word
     w = min(WINDOW, n)
     c = np.concatenate([[0], np.cumsum(function)])
-    few = FEW if w == WINDOW and not _ENDS.intersection(toks) and not any("㐀" <= t <= "鿿" for t in toks) else 0
+    few = FEW if w == WINDOW and not _ENDS.intersection(toks) and not _HAN.search(text) else 0
     bare = (c[w:] - c[:-w]) <= few
     if bare.any():
         cover = np.zeros(n + 1, np.int64)
@@ -198,6 +209,7 @@ def profile(text: str, records: int) -> tuple[float, float]:
     plain = float(weight[~function & ~spam].sum())
     content = (~function).sum()
     whole = content + records + FREE
+    ids = np.array(ids)
     return listed / (listed + plain + records + FREE), windowed_autocorrelation(ids, ids > 0) / whole
 
 
