@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.common import bounded, stored, with_source
-from quern.llm.tokens import estimated_tokens
+from quern.llm.tokens import estimated_tokens, once
 
 BITS, BIN_BITS = 50, 10
 TOP = 1 << BITS
@@ -27,8 +27,8 @@ MAX_TARGETS = 2_000
 
 def candidates(records: DataFrame, specs: DataFrame) -> DataFrame:
     """(id, bucket, tokens): records, each id once, of enabled sources that have a bucket."""
-    r = with_source(records.where("id is not null").select("id", "prompt_source", estimated_tokens(F.col("text")).alias("tokens"), "ingested_at"), specs, "prompt_source")
-    r = r.groupBy("id").agg(F.min(F.struct("ingested_at", "tokens", "source_id")).alias("v")).select("id", "v.tokens", "v.source_id")
+    r = records.select("id", "prompt_source", estimated_tokens(F.col("text")).alias("tokens"), "ingested_at")
+    r = with_source(once(r, ["tokens", "prompt_source"]), specs, "prompt_source")
     live = specs.where("id is not null and bucket is not null and coalesce(enabled, true)").groupBy(F.col("id").alias("source_id")).agg(F.min("bucket").alias("bucket"))
     return r.join(bounded(live), "source_id").select("id", "bucket", "tokens")
 

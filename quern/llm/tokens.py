@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import bounded, with_source
+from quern.llm.common import bounded, stored, with_source
 from quern.llm.language import detect
 
 #: Where the vocabulary files are; a parameter of every function that needs one.
@@ -108,8 +108,9 @@ def _detected(text: Column) -> Column:
 
 
 def once(records: DataFrame, columns: list[str], id_col: str = "id", when: str = "ingested_at") -> DataFrame:
-    """One row per non-null id: the first delivery.  Its columns are carried through one shuffle on the id."""
-    at = F.coalesce(F.col(when).cast("timestamp"), F.lit("9999-12-31").cast("timestamp"))
+    """One row per non-null id: the first delivery, one without a time after all others; of deliveries at one time the first by a hash of
+    their columns.  The columns are carried through one shuffle on the id."""
+    at = F.struct(F.coalesce(F.col(when).cast("timestamp"), F.lit("9999-12-31").cast("timestamp")), F.xxhash64(*columns))
     r = records.where(F.col(id_col).isNotNull()).select(id_col, F.struct(*columns).alias("v"), at.alias("o"))
     return r.groupBy(id_col).agg(F.min_by("v", "o").alias("v")).select(id_col, "v.*")
 
@@ -143,7 +144,7 @@ def token_budget(records: DataFrame, specs: DataFrame, path: str = VOCABULARY) -
     r = sliced(records, specs).withColumn("slice", F.xxhash64(*SLICE))
     heads = r.groupBy("slice", *SLICE).agg(F.count("*").alias("records"), F.sum(estimated_tokens(F.col("text"))).alias("estimated_tokens"))
     pieces = r.select("slice", F.explode(F.regexp_extract_all("text", F.lit(JAVA_PATTERN), F.lit(0))).alias("piece"))
-    frequency = pieces.groupBy("slice", "piece").agg(F.count("*").alias("n"))
+    frequency = stored(pieces.groupBy("slice", "piece").agg(F.count("*").alias("n")))  # texts are split once
     totals = frequency.join(piece_lengths(frequency, path), "piece").groupBy("slice").agg(F.sum(F.col("n") * F.col("n_tokens")).alias("tokens"))
     return heads.join(totals, "slice", "left").select(*SLICE, "records", F.coalesce("tokens", F.lit(0)).alias("tokens"), "estimated_tokens")
 
