@@ -22,13 +22,14 @@ from pyspark.sql import functions as F
 from quern.llm import endings
 from quern.llm.common import spread
 from quern.llm.language import detect, requested, scores
-from quern.llm.lexicon import COURTESY, LABEL, PLACEHOLDERS, REFUSAL, REFUSAL_KEYS
+from quern.llm.lexicon import ASIDE, FUNCTION_WORDS, LABEL, PLACEHOLDERS, REFUSAL, REFUSAL_KEYS
 
 COPY_NEW = 0.55  # share of a copy that its prompt leaves unexplained, at most
 COPY_MISSING = 0.65  # share of the prompt that a copy leaves unexplained, at most
 COPY_ADDED = 0.2  # how much more of a copy may be new than of the prompt is missing
 SHORT = 12  # bytes of a prompt that is only compared
 
+FUNCTION = frozenset(w for v in FUNCTION_WORDS.values() for w in v.split())
 _TAG = re.compile(r"</?[a-zA-Z][^<>]*>|&[a-zA-Z#0-9]+;")
 _WORD = re.compile(r"[^\W_]+")
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -92,20 +93,25 @@ def is_copy(prompt: str | None, text: str) -> bool:
     return missing <= COPY_MISSING and new - missing <= COPY_ADDED
 
 
-def is_refusal(text: str) -> bool:
-    """The text declines, and sentences that neither decline nor are courtesies make up less than half of it.
+def is_refusal(prompt: str | None, text: str) -> bool:
+    """The text declines, and sentences that answer make up less than half of it: those that don't decline, speak of something else than speaker,
+    reader, courtesies or the conversation, and don't just name what the prompt names.
 
     A quoted refusal doesn't count, nor a remark on limits that real content follows."""
     bare = text.replace("’", "'").lower()
-    if not any(k in bare for k in REFUSAL_KEYS):
-        return False
-    if not REFUSAL.search(bare):
+    if not any(k in bare for k in REFUSAL_KEYS) or not REFUSAL.search(bare):
         return False
     bare = _QUOTED.sub(" ", bare)
-    parts = [x for x in _SENT.split(bare) if x and x.strip()]
-    hits = [x for x in parts if REFUSAL.search(x)]
-    other = sum(len(x) for x in parts if not REFUSAL.search(x) and not COURTESY.search(x))
-    return bool(hits) and other <= 0.45 * len(bare)
+    asked = set(_LETTERS.findall((prompt or "").lower()))
+    other, hits = 0, 0
+    for part in _SENT.split(bare):
+        if REFUSAL.search(part):
+            hits += 1
+        elif part.strip() and not ASIDE.search(part):
+            words = [w for w in _LETTERS.findall(part) if w not in FUNCTION]
+            if not words or sum(w in asked for w in words) * 2 < len(words):
+                other += len(part)
+    return hits > 0 and other <= 0.45 * len(bare)
 
 
 def other_language(prompt: str | None, text: str) -> bool:
@@ -147,7 +153,7 @@ def defect(prompt: str | None, text: str | None, model: endings.Model = endings.
         return "empty"
     if is_copy(prompt, text):
         return "copied"
-    if is_refusal(text):
+    if is_refusal(prompt, text):
         return "refusal"
     if other_language(prompt, text):
         return "other_language"

@@ -60,18 +60,27 @@ REFUSAL_KEYS = (
     "no se", "não", "recusar", "prefiro", "не ", "прид", "вынужден", "должен", "предпоч", "нельзя", "запрещено", "противоречит", "我", "无", "不", "必须", "违反",
 )
 REFUSAL = re.compile("|".join(REFUSALS), re.I)
-# Words of the sentences that accompany a refusal and answer nothing themselves.
-COURTESY = re.compile(
-    r"\b(?:sorry|apologi[sz]e|thank(?:s| you)|appreciate the request|regrettably|unfortunately|as a language model|"
-    r"please ask|another question|something else|happy to help|qualified expert|these limits apply|guidelines|interesting (?:subject|topic)|comes up often|"
-    r"i hope you understand|pleasant day|different angle|conversation about it|follow-up questions|you asked about|same holds|"
-    r"leider|tut mir leid|danke für|andere frage|etwas anderes|sprachmodell|meine regeln|interessantes thema|fachleut\w*|"
-    r"désolé|malheureusement|merci|autre question|autre chose|modèle de langue|mes règles|sujet intéressant|"
-    r"lo siento|lamentablemente|por desgracia|gracias|otra (?:cosa|pregunta)|modelo de lenguaje|mis (?:reglas|normas)|tema interesante|cambiemos de tema|"
-    r"desculp\w*|infelizmente|lamento|obrigad\w*|outra (?:coisa|pergunta)|modelo de linguagem|minhas regras|sinto muito|mudemos de assunto)\b|"
-    r"извините|сожалени\w*|спасибо|друг(?:ой|ом) (?:вопрос|что|тем)|языков\w+ модел|моим правил|抱歉|对不起|感谢|其他问题|别的|语言模型|我的规定|谢谢|另一个问题|换个话题",
-    re.I,
+# The speaker and the reader, per language; sentences about them don't answer a question about something else.
+PERSONS = (
+    "i|i'm|i've|i'd|me|my|myself|we|our|us|you|your|let's|let us", r"ich|mir|mich|mein\w*|wir|uns|unser\w*|du|dich|dir|dein\w*|sie|ihnen|ihr",
+    r"je|j'\w+|moi|mon|ma|mes|nous|notre|nos|tu|toi|vous|votre|vos|parlons", r"yo|mí|mi|mis|me|nosotros|nuestr\w+|tú|ti|tus|usted|ustedes|su pregunta|hablemos|cambiemos",
+    r"eu|mim|meu|minha|meus|minhas|nós|noss\w+|você|vocês|te|teu|falemos|mudemos", r"я|мне|меня|мой|моё|моим|моих|мои|мы|нас|нам|наш\w*|ты|вы|вас|вам|ваш\w*|давайте",
 )
+# Courtesies, per language.
+COURTESIES = (
+    "sorry|apologi[sz]e|apologies|thank(?:s| you)|please|regrettably|unfortunately|happy to|glad to", "leider|tut mir leid|danke|bitte|lassen sie", "désolée?|malheureusement|merci",
+    "lo siento|lamentablemente|por desgracia|gracias", r"desculp\w*|infelizmente|lamento|obrigad\w*|sinto muito", "извините|простите|спасибо|пожалуйста|к сожалению",
+)
+# Words for the conversation itself, its subject and its rules, per language.
+CONVERSATION = (
+    "question|subject|topic|matter|conversation|discussion|request|policy|policies|guidelines?|(?:these|my|our) (?:rules|limits)|expert|language model",
+    r"frage|thema|gespräch|anfrage|richtlinien?|regeln?|fachleut\w*|expert\w*|sprachmodell", "sujet|demande|règles?|politique|modèle de langue",
+    "pregunta|tema|conversación|solicitud|normas?|reglas?|política|modelo de lenguaje", "pergunta|assunto|conversa|pedido|regras?|modelo de linguagem",
+    r"вопрос\w*|тем[аеуы]|разговор\w*|запрос\w*|правил\w*|языков\w+ модел\w*",
+)
+# The same in Chinese.
+ASIDES_HAN = "我|你|您|抱歉|对不起|感谢|谢谢|请|换个|问题|话题|请求|规定|语言模型"
+ASIDE = re.compile(rf"\b(?:{'|'.join((*PERSONS, *COURTESIES, *CONVERSATION))})\b|{ASIDES_HAN}", re.I)
 # What stands for an answer without being one (compared lower-cased, brackets and markup removed).
 PLACEHOLDERS = frozenset(
     ("n/a", "n.a.", "none", "null", "nil", "nan", "undefined", "tbd", "todo", "empty", "blank", "no output", "no answer", "no response",
