@@ -316,7 +316,7 @@ def _distinct(found: DataFrame, m: Broadcast, content: np.ndarray) -> DataFrame:
 
 
 def find_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, part, has_answer): documents that hold at least twelve words in a row of an item's passage or question,
+    """(doc_id, item_id, part, has_answer, unaltered): documents that hold at least twelve words in a row of an item's passage or question,
     at most one in eight of them altered.
 
     One narrow pass over the documents for the words' frequencies and one per block of items; a document's pairs are complete, without a
@@ -333,7 +333,7 @@ def find_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     every = item_texts([r[:3] for r in rows])
     schema = "doc_id bigint, item_id bigint, part string, has_answer boolean"
     if not every:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema + ", unaltered boolean")
     answers = {r[0]: fold(r[3] or "") for r in rows}
     contents = _contents(every)
     frequency = document_frequencies(docs, {w for _, _, t in every for w in t})
@@ -367,4 +367,4 @@ def find_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
         if len(blocks) > 1:  # one block's model per stage; found rows are few
             out = stored(out)
         out = _distinct(out, model, own)
-    return out.select("doc_id", "item_id", "part", "has_answer").dropDuplicates(["doc_id", "item_id", "part"])
+    return out.select("doc_id", "item_id", "part", "has_answer", F.col("run").isNull().alias("unaltered")).dropDuplicates(["doc_id", "item_id", "part"])

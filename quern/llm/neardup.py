@@ -299,6 +299,13 @@ def near_duplicates(records: DataFrame, id_col: str, text: Column, shingle: int
     return m.select("id", F.coalesce("component", "node").alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
+def named_groups(groups: DataFrame) -> DataFrame:
+    """(id, first_id, size): each id with the least id and the number of ids of its group."""
+    g = stored(groups.select("id", "group_id"))
+    named = g.groupBy("group_id").agg(F.min("id").alias("first_id"), F.count("*").alias("size"))
+    return g.join(named, "group_id").select("id", "first_id", "size")
+
+
 def group_pairs(groups: DataFrame) -> DataFrame:
     """(id_a, id_b), id_a < id_b as strings: all pairs of ids within a group of two or more."""
     size = groups.groupBy("group_id").agg(F.count("*").alias("n")).where("n > 1")
