@@ -62,10 +62,14 @@ def noise(target: Column | str, vocabulary: int, pad: int, seed: int, *keys: Col
     target = _c(target)
 
     def made(t: Column) -> Column:
-        # one digest per position: its first digits decide, the next ones give the id
-        drawn = lambda d, x: F.struct((rng.unit(d) < t).alias("m"), F.when(rng.unit(d) < t, rng.second(d) % vocabulary).otherwise(x).alias("v"))
-        at = lambda x, i: F.when(x >= 0, let(rng.digest(seed, "n", *keys, i), lambda d: drawn(d, x))).otherwise(F.struct(F.lit(False).alias("m"), F.lit(pad).cast("bigint").alias("v")))
-        return let(F.transform(target, at), lambda p: F.struct(t.alias("noise_t"), F.transform(p, lambda y: y["m"]).alias("mask"), F.transform(p, lambda y: y["v"]).alias("ids")))
+        # one digest per position: its first digits decide, the next ones give the id; null where a position isn't masked
+        def drawn(head: Column) -> Column:
+            at = lambda d: F.when(rng.unit(d) < t, rng.second(d) % vocabulary)
+            return F.transform(target, lambda x, i: F.when(x >= 0, let(F.md5(F.concat(head, i.cast("string"))), at)))
+
+        ids = lambda v: F.transform(target, lambda x, i: F.coalesce(F.get(v, i), F.when(x < 0, F.lit(pad).cast("bigint")).otherwise(x)))
+        masks = lambda v: F.transform(v, lambda y: y.isNotNull())
+        return let(let(rng.head(seed, "n", *keys), drawn), lambda v: F.struct(t.alias("noise_t"), masks(v).alias("mask"), ids(v).alias("ids")))
 
     return let(F.lit(0.05) + F.lit(0.9) * rng.uniform(seed, "t", *keys), made)
 

@@ -10,6 +10,11 @@ def digest(seed: int, tag: str, *keys: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(tag), *[k.cast("string") for k in keys]))
 
 
+def head(seed: int, tag: str, *keys: Column) -> Column:
+    """What a digest's text begins with; its last key follows."""
+    return F.concat_ws("|", F.lit(str(seed)), F.lit(tag), *[k.cast("string") for k in keys], F.lit(""))
+
+
 def number(seed: int, tag: str, *keys: Column) -> Column:
     """A whole number of 52 random bits."""
     return _bits(digest(seed, tag, *keys), 1)

@@ -112,7 +112,7 @@ def shards(blocks: DataFrame, order: list[str], size: int, signature: str = "sig
     """``blocks`` with ``shard_id``, counted per family: a signature's buffer is written when it holds ``size`` blocks; what is left at the
     end is written in the order in which the signatures were first seen.  ``order`` is unique; only it, the signature and the family are sorted."""
     keys = blocks.select(signature, family, *order)
-    b = prefix_sums(keys, [*order, family], [signature]).withColumn("_q", F.floor(F.col("ordinal") / size))
+    b = prefix_sums(keys, order, [signature], [family]).withColumn("_q", F.floor(F.col("ordinal") / size))
     at = F.struct(*order)
     part = b.groupBy(family, signature, "_q").agg(F.count("*").alias("_n"), F.max(at).alias("_last"))
     seen = b.groupBy(signature).agg(F.min(at).alias("_first")).withColumnRenamed(signature, "_seen")
@@ -120,9 +120,9 @@ def shards(blocks: DataFrame, order: list[str], size: int, signature: str = "sig
     # one row per shard from here on: full ones in the order of their last block, then what is left
     full = F.col("_n") == size
     part = part.select(family, signature, "_q", F.when(full, 0).otherwise(1).alias("_tail"), F.when(full, F.col("_last")).otherwise(F.col("_first")).alias("_at"))
-    ids = prefix_sums(part, ["_tail", "_at", signature, "_q"], [family]).withColumnRenamed("ordinal", "shard_id")
+    ids = prefix_sums(part, ["_tail", "_at"], [family], [signature, "_q"]).withColumnRenamed("ordinal", "shard_id")
     b = with_positions(b.select(family, signature, "_q", *order), ids, [family, signature, "_q"], "shard_id")
-    return with_positions(blocks, b, order, "shard_id")
+    return with_positions(blocks, b, [*order, signature, family], "shard_id")
 
 
 def verify_shards(rows: DataFrame, length: int, min_blocks: int = 0) -> DataFrame:

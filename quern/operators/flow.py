@@ -26,7 +26,7 @@ def interleave(rows: DataFrame, sources: DataFrame, source_col: str, order: list
     ok = F.coalesce(accepted if accepted is not None else F.lit(True), F.lit(False))
     keys = [source_col, *order]
     r = rows.select(*keys, ok.alias("_ok")).join(spec, F.col(source_col) == F.col("_id"))
-    at = prefix_sums(r.select(*keys, "source_order", "_own", "_ok"), [*order, "source_order", "_own", "_ok"], [source_col], _accepted=F.col("_ok").cast("bigint"))
+    at = prefix_sums(r, order, [source_col], ["source_order", "_own", "_ok"], _accepted=F.col("_ok").cast("bigint"))
     quota = F.when(F.coalesce("_own", F.lit(0)) > 0, F.col("_own")).otherwise(F.lit(per_source))
     kept = at.where(F.col("_ok") & ((quota <= 0) | (F.col("_accepted") < quota))).select(*keys, "source_order", F.col("ordinal").alias("raw_index"))
     turn = ["raw_index", "source_order"]
@@ -37,28 +37,36 @@ def interleave(rows: DataFrame, sources: DataFrame, source_col: str, order: list
     return with_positions(rows, kept, keys, "raw_index", "source_order", "position")
 
 
+def budget_positions(df: DataFrame, order: list[str], tokens: Column, target: int, spent: int = 0) -> DataFrame:
+    """(order, tokens_before) of the rows before the budget is reached; the row that crosses it is kept.  0 is no limit; ``spent`` counts first."""
+    at = prefix_sums(df, order, tokens_before=tokens).drop("ordinal").withColumn("tokens_before", F.col("tokens_before") + spent)
+    return at.where(F.col("tokens_before") < target) if target > 0 else at
+
+
+def block_positions(df: DataFrame, order: list[str], n_blocks: Column, target: int) -> DataFrame:
+    """(order, first_block, kept_blocks) of the records that are read until ``target`` blocks are written."""
+    counted = stored(df.select(*order, n_blocks.alias("_n")))  # texts are tokenized once, not again for the ranges of the sort
+    at = prefix_sums(counted, order, carried=["_n"], first_block=F.col("_n")).where(F.col("first_block") < target)
+    return at.select(*order, "first_block", F.least("_n", F.lit(target) - F.col("first_block")).alias("kept_blocks"))
+
+
 def token_budget(df: DataFrame, order: list[str], tokens: Column, target: int, spent: int = 0) -> DataFrame:
-    """``df`` with ``tokens_before``: the rows before the budget is reached; the row that crosses it is kept.  0 is no limit; ``spent`` counts first.
+    """``df`` with ``tokens_before``, within the budget of ``budget_positions``.
 
     Only order and counts are sorted; rows beyond the budget are filtered where they are read."""
-    at = prefix_sums(df, order, tokens_before=tokens).withColumn("tokens_before", F.col("tokens_before") + spent)
-    return _within(df, at, order, "tokens_before", target)
+    return _within(df, budget_positions(df, order, tokens, target, spent), order, target, "tokens_before")
 
 
 def block_budget(df: DataFrame, order: list[str], n_blocks: Column, target: int) -> DataFrame:
-    """``df`` with ``first_block`` and ``kept_blocks`` of the records that are read until ``target`` blocks are written."""
-    r = _within(df, prefix_sums(df, order, first_block=n_blocks), order, "first_block", target)
-    return r.withColumn("kept_blocks", F.least(n_blocks, F.lit(target) - F.col("first_block")))
+    """``df`` with ``first_block`` and ``kept_blocks``, within the budget of ``block_positions``."""
+    return _within(df, block_positions(df, order, n_blocks, target), order, target, "first_block", "kept_blocks")
 
 
-def _within(df: DataFrame, at: DataFrame, order: list[str], measure: str, target: int) -> DataFrame:
+def _within(df: DataFrame, at: DataFrame, order: list[str], target: int, *columns: str) -> DataFrame:
     if target > 0:
-        at = at.where(F.col(measure) < target)
-        if not set(df.columns) <= set(order):
-            at = stored(at)
-            last = at.orderBy(*[F.desc(o) for o in order]).first()
-            df = up_to(df, order, last)
-    return with_positions(df, at, order, measure)
+        at = stored(at)
+        df = up_to(df, order, at.orderBy(*[F.desc(o) for o in order]).first())
+    return with_positions(df, at, order, *columns)
 
 
 def seeded_shuffle(df: DataFrame, seed: int, *keys: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quern.functions import arrays
 from quern.functions.text import prefix_text
 from quern.operators.blocks import corrupted, shards, target_blocks, tokenized
-from quern.operators.flow import block_budget, seeded_shuffle
+from quern.operators.flow import block_positions, seeded_shuffle
 from quern.storage import stored, with_positions
 
 
@@ -32,7 +32,7 @@ def build_shards(
     at = seeded_shuffle(keys, seed, id_col) if record_order != "source" else keys.withColumn("position", F.col(id_col))
     both = lambda df: _encoded(df, encode, make_tokenizer)
     sized = both(r.select(id_col, F.col("text").alias("_target"))).select(id_col, F.ceil(F.size("_target_ids") / canvas).alias("n"))
-    sized = block_budget(with_positions(sized, at, [id_col], "position"), order, F.col("n"), target_blocks_n)
+    sized = block_positions(with_positions(sized, at, [id_col], "position"), order, F.col("n"), target_blocks_n)
     sized = stored(sized.where("kept_blocks > 0").select(id_col, "position", "kept_blocks"))
     blocks = sized.select(id_col, "position", F.explode(F.sequence(F.lit(0), F.col("kept_blocks").cast("int") - 1)).alias("block"))
     kinds = r.select(id_col, (signature if signature is not None else F.lit("text")).alias("signature"), (family if family is not None else F.lit("text")).alias("family"))

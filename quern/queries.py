@@ -11,7 +11,7 @@ from quern.functions import arrays, rng
 from quern.functions import text as X
 from quern.operators import blocks, contract, flow, prompts, scores, weights
 from quern.sources import readers
-from quern.storage import prefix_sums
+from quern.storage import prefix_sums, stored
 from quern.streaming import streams
 
 FLAGSHIP = "estimate_tokens_by_source"
@@ -197,7 +197,7 @@ def interleave_quota_total(spark, d):
     from (select doc_id, greatest(1, coalesce(strlen(text), 0) // 4) as t from documents)) where before < 100000"""
 )
 def token_budget_cut(spark, d):
-    return flow.token_budget(table(spark, d, "documents").select("doc_id", X.estimate_tokens("text").alias("t")), ["doc_id"], F.col("t"), 100_000).select("doc_id", "tokens_before")
+    return flow.budget_positions(table(spark, d, "documents"), ["doc_id"], X.estimate_tokens("text"), 100_000)
 
 
 _TOKENS = "[('0x' || substr(md5(x), 1, 7))::BIGINT % 262144 for x in string_split(coalesce(text, ''), ' ') if x <> '']"
@@ -209,7 +209,7 @@ _TOKENS = "[('0x' || substr(md5(x), 1, 7))::BIGINT % 262144 for x in string_spli
 )
 def block_budget_cut(spark, d):
     n = F.ceil(F.size(arrays.hash_tokens("text")) / 256)
-    return flow.block_budget(table(spark, d, "documents").select("doc_id", n.alias("n")), ["doc_id"], F.col("n"), 500).select("doc_id", "first_block", "kept_blocks")
+    return flow.block_positions(table(spark, d, "documents"), ["doc_id"], n, 500)
 
 
 @query("select doc_id, row_number() over (order by md5('1337|' || doc_id), doc_id) - 1 as position from documents")
@@ -340,7 +340,7 @@ def noise_blocks(spark, d):
 )
 def shard_assign(spark, d):
     b = _blocks(spark, d).select("doc_id", "block", F.coalesce("lang", F.lit("")).alias("signature"))
-    b = b.withColumn("family", F.when(F.col("signature").startswith("en"), "text").otherwise("multimodal"))
+    b = stored(b.withColumn("family", F.when(F.col("signature").startswith("en"), "text").otherwise("multimodal")))
     return blocks.shards(b, ["doc_id", "block"], 64).groupBy("family", "signature", "shard_id").agg(F.count("*").alias("blocks"))
 
 

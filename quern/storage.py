@@ -63,19 +63,20 @@ def bounded(df: DataFrame, rows: int = 10_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def prefix_sums(df: DataFrame, order: list[str], group: list[str] | None = None, **sums: Column) -> DataFrame:
-    """(group, order, ordinal, sums): the 0-based ``ordinal`` and, per keyword, the sum of that expression over all earlier rows, by ``order`` within ``group``.
+def prefix_sums(df: DataFrame, order: list[str], group: list[str] | None = None, carried: list[str] | None = None, **sums: Column) -> DataFrame:
+    """(group, order, carried, ordinal, sums): the 0-based ``ordinal`` and, per keyword, the sum of that expression over all earlier rows, by ``order`` within ``group``.
 
-    Only keys and measures are sorted, stored and returned; ``with_positions`` joins them to the rest of a row.  Two levels: the rows are
+    Only keys, measures and the narrow columns ``carried`` are sorted, stored and returned; ``with_positions`` joins them to the rest of a row.  Two levels: the rows are
     range-partitioned by group and order and stored; per slice there is a total; the totals' running sums are added to
     windows within slices.  A hot group is spread over slices like everything else.  Nulls in a summed expression count as 0; rows that
     tie in ``order`` follow each other in an arbitrary but fixed way, so give a unique one.
     """
     group = group or []
-    kept = list(dict.fromkeys([*group, *order]))
+    keys = list(dict.fromkeys([*group, *order]))
+    kept = list(dict.fromkeys([*keys, *(carried or [])]))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     narrow = df.select(*kept, *[F.coalesce(v, F.lit(0)).alias(f"_v_{k}") for k, v in sums.items()])
-    s = stored(narrow.repartitionByRange(n, *kept).withColumn("_slice", F.spark_partition_id()))
+    s = stored(narrow.repartitionByRange(n, *keys).withColumn("_slice", F.spark_partition_id()))
     totals = s.groupBy("_slice", *group).agg(F.count("*").alias("_n"), *[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in sums])
     earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     zero = lambda c: F.coalesce(c, F.lit(0))
