@@ -11,7 +11,7 @@ from quern.functions import arrays, rng
 from quern.functions import text as X
 from quern.operators import blocks, contract, flow, prompts, scores, weights
 from quern.sources import readers
-from quern.storage import prefix_sums, stored
+from quern.storage import new_folder, prefix_sums, stored
 from quern.streaming import streams
 
 FLAGSHIP = "estimate_tokens_by_source"
@@ -515,7 +515,7 @@ def sha256_manifest(spark, d):
 @query("select event_type, count(*) as records, sum(round(value * 100)::bigint)::bigint as cents from events group by 1")
 def stream_totals(spark, d):
     events = streams.table_stream(spark, d, "events")
-    return streams.run_available(streams.running_totals(events, ["event_type"], cents=F.round(F.col("value") * 100).cast("bigint")), "stream_totals")
+    return streams.run_available(streams.running_totals(events, ["event_type"], cents=F.round(F.col("value") * 100).cast("bigint")), new_folder(spark))
 
 
 @query("select strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') as window_start, event_type, count(*) as events from events group by 1, 2")

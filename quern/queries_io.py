@@ -5,13 +5,14 @@ Every query writes to a folder of its own below the shared one."""
 from __future__ import annotations
 
 import json
+import os
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions import text as X
 from quern.operators import blocks
-from quern.operators.clients import Offline, TeacherConfig
+from quern.operators.clients import COMPLETIONS, TEXT_ONLY, Offline, TeacherConfig, make_client
 from quern.plans import bank, shards, teacher
 from quern.queries import _LISTS, _TOKENS, query, stripped, table
 from quern.sources import readers, writers
@@ -303,3 +304,39 @@ def stream_append(spark, d):
         streams.append_records(s, f"{at}/kept", f"{at}/quarantine", f"{at}/checkpoint").awaitTermination()
     kept = spark.read.schema("id string").json(f"{at}/kept").agg(F.lit("kept").alias("violation"), F.count("id").alias("records"))
     return kept.unionByName(spark.read.schema("id string, violation string").json(f"{at}/quarantine").groupBy("violation").agg(F.count("id").alias("records")))
+
+
+@query("select strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') as window_start, event_type, count(*) as events, sum(round(value * 100)::bigint)::bigint as cents from events group by 1, 2")
+def event_windows_streamed(spark, d):
+    """Event-time windows with a watermark over the table as a stream."""
+    w = streams.windowed(streams.table_stream(spark, d, "events"), "ts", "1 hour", ["event_type"], cents=F.sum(F.round(F.col("value") * 100).cast("bigint")))
+    return streams.run_available(w, new_folder(spark)).select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "events", "cents")
+
+
+# --- tokenizers and clients -------------------------------------------------------------------------------------------
+
+#: Rank file of a public byte-pair tokenizer; a parameter of every function that needs one.
+RANKS = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+
+
+@query(
+    f"""with v as (select from_base64(b) as piece, r from read_csv('{RANKS}', delim = ' ', header = false, quote = '', escape = '', columns = {{'b': 'VARCHAR', 'r': 'BIGINT'}})),
+    p as (select distinct unnest(regexp_extract_all(lower(coalesce(text, '')), ' ?[a-z]+')) as piece from documents)
+    select p.piece, v.r as id from p join v on encode(p.piece) = v.piece"""
+)
+def vocabulary_pieces(spark, d):
+    """Words of the documents that are one token of a public vocabulary, and their ids: each distinct word is tokenized once, by a tokenizer that tasks make from the file."""
+    pieces = table(spark, d, "documents").select(F.explode(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(" ?[a-z]+"), F.lit(0))).alias("piece")).distinct()
+    t = blocks.tokenized(pieces, "piece", "ids", blocks.rank_file_tokenizer(RANKS))
+    return t.where(F.size("ids") == 1).select("piece", F.get("ids", F.lit(0)).alias("id"))
+
+
+@query(
+    """select runtime, count(*) as records, case when runtime = 'ollama' then 'Ollama' when runtime in ('lmstudio', 'llamacpp', 'openai-compatible') then 'Completions' else 'unknown' end as client from teacher_records group by 1"""
+)
+def runtime_clients(spark, d):
+    """The client of each runtime that occurs."""
+    made = [(r, type(make_client(TeacherConfig(runtime=r))).__name__) for r in (*COMPLETIONS, *TEXT_ONLY)]
+    names = F.create_map(*[F.lit(x) for pair in made for x in pair])
+    counts = table(spark, d, "teacher_records").groupBy("runtime").agg(F.count("*").alias("records"))
+    return counts.withColumn("client", F.coalesce(F.try_element_at(names, F.col("runtime")), F.lit("unknown")))

@@ -61,15 +61,21 @@ def running_totals(stream: DataFrame, by: list[str], **sums: Column) -> DataFram
 
 def windowed(events: DataFrame, time: str, width: str, by: list[str], slide: str | None = None, late: str = "10 minutes", **aggregates: Column) -> DataFrame:
     """Event-time windows with a watermark, tumbling or sliding; works on batches and streams alike."""
-    e = events.withWatermark(time, late) if events.isStreaming else events
+    e = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late) if events.isStreaming else events
     w = F.window(time, width, slide) if slide else F.window(time, width)
     return e.groupBy(w.alias("window"), *by).agg(F.count("*").alias("events"), *[v.alias(k) for k, v in aggregates.items()]).select(F.col("window.start").alias("window_start"), *by, "events", *aggregates)
 
 
-def run_available(stream: DataFrame, name: str, mode: str = "complete", checkpoint: str | None = None) -> DataFrame:
-    """Run a stream over what is there, into a table in memory: for tests and small results."""
-    w = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
+def run_available(stream: DataFrame, path: str, mode: str = "complete", checkpoint: str | None = None) -> DataFrame:
+    """Run a stream over what is there, into a table at ``path``: the whole result of each batch in ``complete`` mode, else its rows under the batch's number, so that a
+    replayed batch overwrites itself."""
+    w = stream.writeStream.outputMode(mode).trigger(availableNow=True)
     if checkpoint:
         w = w.option("checkpointLocation", checkpoint)
-    w.start().awaitTermination()
-    return stream.sparkSession.table(name)
+    at = lambda number: path if mode == "complete" else f"{path}/batch={number}"
+    w.foreachBatch(lambda batch, number: batch.write.mode("overwrite").parquet(at(number))).start().awaitTermination()
+    spark = stream.sparkSession
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(there):
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(path)
