@@ -60,12 +60,24 @@ _RECORD = re.compile(
     r"^\s*\||(?:^|\s)\w+=\S+(?:\s+\w+=\S+)+|\b[0-9a-f]{16,}\b|^\s*\[\d+\]\s|^\s*[\w./-]+\.\w{2,5}\s+\d+\b"
     r"|^\s*(?:def|class|return|import|from|while|for|if|elif|with|assert|try|except|else|print)\b.*[:=()\[\]]|^\s*[\w.\[\]\", ]+ [-+*/]?= |^\s+[\w.]+\(.*\)$|^\s*(?:try|else|finally):$"
 )
+# the same where punctuation was lost: a line of names with numbers, or of code by its names
+_NUMBERED = re.compile(r"^\W*[^\W\d]+_?\d+(?:\s+[^\W\d]+_?\d+){2,}\W*$")
+_KEYWORD = re.compile(r"^\W*(?:def|class|return|import|from|while|for|if|elif|with|assert|try|except|else|finally|print\w*)\b")
+_NAME = re.compile(r"(?<![\w#])[a-zA-Z]\w*_\w+")
 _RECORD_MARKS = ("=", "|", "[", ":\n", "\nimport", "\nfrom")
 _RECORD_RUNS = re.compile(r"[0-9a-f]{16}"), re.compile(r"\.\w{2,5}\s+\d")
 
 
 def _may_hold_records(text: str) -> bool:
-    return text.startswith(("import", "from")) or any(m in text for m in _RECORD_MARKS) or any(r.search(text) for r in _RECORD_RUNS)
+    return "_" in text or text.startswith(("import", "from")) or any(m in text for m in _RECORD_MARKS) or any(r.search(text) for r in _RECORD_RUNS)
+
+
+def _bare_record(line: str) -> bool:
+    """A log entry or a line of code that has lost its punctuation: names with numbers, or names with underscores that make up most of the line or follow a keyword."""
+    if _NUMBERED.match(line):
+        return True
+    names = len(_NAME.findall(line)) if "_" in line else 0
+    return names > 0 and (_KEYWORD.match(line) is not None or names * 2 >= len(line.split()))
 
 
 def body(text: str) -> tuple[str, int]:
@@ -78,7 +90,7 @@ def body(text: str) -> tuple[str, int]:
     if _may_hold_records(text):
         keep = []
         for line in text.split("\n"):
-            if _RECORD.search(line[1:] if line[:1] == ">" else line):
+            if _RECORD.search(line[1:] if line[:1] == ">" else line) or _bare_record(line):
                 records += len(_TOKEN.findall(line)) or 1
             else:
                 keep.append(line)

@@ -28,6 +28,8 @@ def test_spam(text):
     "没有人注意到完整的来源复制分片。相比之下，提示库解释旧的港口记录。大约十行表明小的噪声推迟安静的图书卡。",
     "Второй запрос сравнивает ответ, а последний счётчик дополняет местный слой. Прошло десять дней, прежде чем всё было готово без лишних слов.",
     "with open('x') as f:\n    rows = [r[2:] for r in f]\nprint(rows)\nwhile a < 3 and b:\n    a = b + 1",
+    "The ferry leaves at noon\n" + "\n".join(f"step{k} loss2{k} tokens_seen{k}00 val{k}" for k in range(9)),
+    "The ferry leaves at noon\n\nclass LampHarbour\n    read_lamps  7\n\n    def read_lamp_9self harbour_rows\n        selfread_lamps  harbour_rows  3\n        return selfread_lamps\n\nlamps_all  sortedread_lamps keylambda lamp_row lamp_row2",
 ])
 def test_not_spam(text):
     assert not S.is_spam(text)
