@@ -138,3 +138,25 @@ def test_items_in_blocks(spark, monkeypatch):
     df = spark.createDataFrame([(k, "start " + i[1] + " end") for k, i in enumerate(items)], "doc_id bigint, text string")
     it = spark.createDataFrame(items, "item_id bigint, passage string, question string, answer string")
     assert sorted((r["doc_id"], r["item_id"]) for r in L.find_leaks(df, it).collect()) == [(k, k) for k in range(7)]
+
+
+def test_more_items_than_the_bound_are_an_error(spark, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(L, "MAX_ITEMS", 2)
+    it = spark.createDataFrame([(k, sentence(RND, 20), None, None) for k in range(3)], "item_id bigint, passage string, question string, answer string")
+    df = spark.createDataFrame([(1, "x")], "doc_id bigint, text string")
+    with pytest.raises(ValueError):
+        L.find_leaks(df, it)
+    assert L.find_leaks(df, it.where("item_id < 2")).count() == 0
+
+
+def test_extents_of_altered_matches():
+    item = [f"i{k}" for k in range(40)]
+    noise = ["x"] * 9
+    at = L.seeds([item])
+    everywhere = lambda d: L.verified(d, {0}, range(len(d) - L.SEED + 1), at, [item])
+    assert everywhere(noise + item[3:20] + noise) == {0: []}
+    one = noise + item[3:10] + ["alt"] + item[11:18] + noise
+    assert everywhere(one) == {0: [(9, 24)]}
+    assert everywhere(noise + item[3:10] + noise) == {}

@@ -77,3 +77,13 @@ def test_language():
     assert detect("没有人注意到完整的来源") == "zh" and detect("Вот краткий ответ на вопрос") == "ru"
     assert detect("Kinwen 42") is None and detect(None) is None
     assert requested("Responde en alemán.") == {"de"} and requested("Say it.") == set()
+
+
+def test_the_first_delivery_counts(spark):
+    from datetime import datetime
+
+    rows = [("a", "late", datetime(2024, 1, 2)), ("a", "first", datetime(2024, 1, 1)), ("a", "never", None), ("b", "never", None), ("c", "x", datetime(2024, 1, 1)), ("c", "y", datetime(2024, 1, 1)), (None, "z", None)]
+    df = spark.createDataFrame(rows, "id string, text string, ingested_at timestamp")
+    once = [{r["id"]: r["text"] for r in T.once(df.repartition(n), ["text"]).collect()} for n in (1, 5)]
+    assert once[0] == once[1]  # ties don't depend on partitions
+    assert once[0]["a"] == "first" and once[0]["b"] == "never" and set(once[0]) == {"a", "b", "c"}
