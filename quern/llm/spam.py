@@ -37,7 +37,7 @@ SAME = 0.85  # agreement of a phrase's repetitions; entries of a glossary made a
 EXACT_LAGS = 32  # lags up to which the autocorrelation at all lags needs no transform
 FREE = 4  # tokens that say nothing either way: few tokens are little evidence
 LINK_WEIGHT = 3  # tokens that a link counts as
-_TAPER = 1 - np.arange(1, MAX_LAG + 1) / (MAX_LAG + 1)
+_TAPER = [1 - k / (MAX_LAG + 1) for k in range(1, MAX_LAG + 1)]
 
 # Frequent Chinese function characters.
 _HAN_FUNCTION = "的了在是和与而但并之有没人到那说出于也就把被对从向为这其以及只因所后前中时"
@@ -65,11 +65,17 @@ _NUMBERED = re.compile(r"^\W*[^\W\d]+_?\d+(?:\s+[^\W\d]+_?\d+){2,}\W*$")
 _KEYWORD = re.compile(r"^\W*(?:def|class|return|import|from|while|for|if|elif|with|assert|try|except|else|finally|print\w*)\b")
 _NAME = re.compile(r"(?<![\w#])[a-zA-Z]\w*_\w+")
 _RECORD_MARKS = ("=", "|", "[", ":\n", "\nimport", "\nfrom")
+_LINE_MARKS = ("=", "|", "[", "(", ":", "import", "from")
 _RECORD_RUNS = re.compile(r"[0-9a-f]{16}"), re.compile(r"\.\w{2,5}\s+\d")
 
 
-def _may_hold_records(text: str) -> bool:
-    return "_" in text or text.startswith(("import", "from")) or any(m in text for m in _RECORD_MARKS) or any(r.search(text) for r in _RECORD_RUNS)
+def _is_record(line: str, runs: bool) -> bool:
+    """``runs``: whether the text has long hexadecimal numbers or file names with sizes anywhere, without which lines of plain words needn't be searched."""
+    if line[:1] == ">":
+        line = line[1:]
+    if (runs or any(m in line for m in _LINE_MARKS)) and _RECORD.search(line):
+        return True
+    return ("_" in line or line.rstrip(" .,;:!?)\"'")[-1:].isdigit()) and _bare_record(line)
 
 
 def _bare_record(line: str) -> bool:
@@ -87,10 +93,11 @@ def body(text: str) -> tuple[str, int]:
         text = text.replace("\xa0", " ")
     if "<br" in text or "<p" in text:
         text = _BREAK.sub("\n", text)
-    if _may_hold_records(text):
+    runs = any(r.search(text) for r in _RECORD_RUNS)
+    if runs or "_" in text or text.startswith(("import", "from")) or any(m in text for m in _RECORD_MARKS):
         keep = []
         for line in text.split("\n"):
-            if _RECORD.search(line[1:] if line[:1] == ">" else line) or _bare_record(line):
+            if _is_record(line, runs):
                 records += len(_TOKEN.findall(line)) or 1
             else:
                 keep.append(line)
@@ -166,22 +173,18 @@ def repeated(text: str, records: int) -> bool:
     return autocorrelation(_numbered(toks), np.array(content), n // REPEATS, SAME) >= SAME
 
 
-def windowed_autocorrelation(ids: np.ndarray, content: np.ndarray) -> float:
-    """Sum over lags up to ``MAX_LAG`` of the pairs of equal content tokens at that lag, tapered, per content token."""
-    near = np.lib.stride_tricks.sliding_window_view(np.concatenate([np.full(MAX_LAG, -1), ids]), MAX_LAG)[:-1]
-    return float((near[content] == ids[content, None]).sum(axis=0)[::-1] @ _TAPER)
-
-
 def profile(text: str, records: int) -> tuple[float, float]:
-    """(share of stuffed or listed tokens among all, windowed autocorrelation) of a body; a link counts as several tokens."""
+    """(share of stuffed or listed tokens among all, windowed autocorrelation) of a body; a link counts as several tokens.
+
+    The autocorrelation is the sum over lags up to ``MAX_LAG`` of the pairs of equal content tokens at that lag, tapered, per content token."""
     toks = tokens(text)
     n = len(toks)
     if not n:
         return 0.0, 0.0
-    seen: dict[str, tuple[int, int]] = {}  # number and last place of a word or pair of Han characters
+    seen: dict[str, list[int]] = {}  # places of a word or pair of Han characters
+    pairs = 0.0
     flags = [t in _FUNCTION for t in toks]
     spam = np.zeros(n, bool)
-    ids = [0] * n
     link = np.zeros(n, bool)
     hits = []
     for i, t in enumerate(toks):
@@ -197,11 +200,15 @@ def profile(text: str, records: int) -> tuple[float, float]:
             t, wide = toks[i - 1] + t, 1
         else:
             wide = 0
-        number, p = seen.get(t) or (len(seen) + 1, -99)
-        seen[t] = number, i
-        ids[i] = number
-        if i - p <= LAG:
+        places = seen.setdefault(t, [])
+        for p in reversed(places):
+            if i - p > MAX_LAG:
+                break
+            pairs += _TAPER[i - p - 1]
+        if places and i - places[-1] <= LAG:
+            p = places[-1]
             hits += (i - wide, i, p - wide, p)
+        places.append(i)
     spam[hits] = True
     function = np.array(flags)
     # lag windows with hardly a function word
@@ -219,10 +226,7 @@ def profile(text: str, records: int) -> tuple[float, float]:
     weight = 1 + (LINK_WEIGHT - 1) * link
     listed = float(weight[spam].sum())
     plain = float(weight[~function & ~spam].sum())
-    content = (~function).sum()
-    whole = content + records + FREE
-    ids = np.array(ids)
-    return listed / (listed + plain + records + FREE), windowed_autocorrelation(ids, ids > 0) / whole
+    return listed / (listed + plain + records + FREE), pairs / (int((~function).sum()) + records + FREE)
 
 
 def is_spam(text: str | None) -> bool:
