@@ -17,18 +17,18 @@ TEXT_SETTINGS = (
 TOKEN_IDS = {"boi_token_id": 255999, "eoi_token_id": 258882, "image_token_id": 258880, "boa_token_id": 256000, "eoa_token_index": 258883, "audio_token_id": 258881}
 
 
-def artifact_report(files: DataFrame, path: str = "path") -> DataFrame:
-    """One row (exists, has_config, has_tokenizer, has_weights) from the names of a folder's files; sharded weights count."""
+def artifact_report(files: DataFrame, path: str = "path", by: tuple[str, ...] = ()) -> DataFrame:
+    """One row (exists, has_config, has_tokenizer, has_weights) from the names of a folder's files, or one per value of ``by``; sharded weights count."""
     name = F.regexp_extract(path, r"([^/]+)$", 1)
     any_of = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
-    return files.agg(
+    return files.groupBy(*by).agg(
         (F.count("*") > 0).alias("exists"), any_of(name == CONFIG).alias("has_config"), any_of(name.isin(*TOKENIZERS)).alias("has_tokenizer"),
         any_of(name.isin(*WEIGHTS) | name.rlike(r"^model-.*\.safetensors$")).alias("has_weights"),
     )
 
 
-def text_checks(files: DataFrame, checks: dict[str, tuple[str, list[str]]], path: str = "path", text: str = "text") -> DataFrame:
-    """One row with a flag per check: whether the file whose path ends as given contains all of the texts."""
+def text_checks(files: DataFrame, checks: dict[str, tuple[str, list[str]]], path: str = "path", text: str = "text", by: tuple[str, ...] = ()) -> DataFrame:
+    """One row with a flag per check, or one per value of ``by``: whether the file whose path ends as given contains all of the texts."""
 
     def flag(suffix: str, needles: list[str]) -> Column:
         ok = F.col(path).endswith(suffix)
@@ -36,7 +36,7 @@ def text_checks(files: DataFrame, checks: dict[str, tuple[str, list[str]]], path
             ok = ok & F.col(text).contains(n)
         return F.coalesce(F.bool_or(ok), F.lit(False))
 
-    return files.agg(*[flag(*c).alias(k) for k, c in checks.items()])
+    return files.groupBy(*by).agg(*[flag(*c).alias(k) for k, c in checks.items()])
 
 
 def text_settings(settings: Column) -> Column:

@@ -258,21 +258,18 @@ def progress_state(spark, d):
     return flow.progress(table(spark, d, "teacher_records"), ["ingested_at", "id"])
 
 
-_SAVED = """(select runtime, count(*) as records, coalesce(sum(coalesce(estimated_tokens, 0)), 0)::bigint as estimated_tokens, count(*) as source_index,
-    max_by(id, (ingested_at, id)) filter (where coalesce(id, '') <> '') as last_record_id from teacher_records where runtime in ('ollama', 'lmstudio') group by runtime)"""
-
-
 @query(
-    f"""with s as {_SAVED}, c as (select *, case when runtime = 'ollama' then 0 else 7 end as off from s)
-    select runtime, records, estimated_tokens, source_index, last_record_id, off <> 0 as reconciled_from_output from c"""
+    """select coalesce(runtime, '') as runtime, count(*) as records, coalesce(sum(coalesce(estimated_tokens, 0)), 0)::bigint as estimated_tokens, count(*) as source_index,
+    max_by(id, (ingested_at, id)) filter (where coalesce(id, '') <> '') as last_record_id, coalesce(runtime, '') <> 'ollama' as reconciled_from_output from teacher_records group by 1, 6"""
 )
 def reconcile(spark, d):
-    """Progress of two runs: the one saved as the output has it stays, the one saved with fewer tokens is replaced."""
+    """Progress of each runtime's records: the one saved as the output has it stays, those saved with fewer tokens are replaced."""
+    records = table(spark, d, "teacher_records").withColumn("runtime", F.coalesce("runtime", F.lit("")))
     out = None
-    for runtime, off in (("ollama", 0), ("lmstudio", 7)):
-        actual = flow.progress(table(spark, d, "teacher_records").where(F.col("runtime") == runtime), ["ingested_at", "id"])
-        saved = actual.withColumn("estimated_tokens", F.col("estimated_tokens") - off)
-        one = flow.reconcile(saved, actual).withColumn("runtime", F.lit(runtime))
+    for r in records.select("runtime").distinct().collect():  # a handful of runtimes
+        actual = flow.progress(records.where(F.col("runtime") == r["runtime"]), ["ingested_at", "id"])
+        saved = actual.withColumn("estimated_tokens", F.col("estimated_tokens") - (0 if r["runtime"] == "ollama" else 7))
+        one = flow.reconcile(saved, actual).withColumn("runtime", F.lit(r["runtime"]))
         out = one if out is None else out.unionByName(one)
     return out
 

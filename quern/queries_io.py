@@ -279,13 +279,13 @@ def _processor():
 # --- logs, reports, streams -------------------------------------------------------------------------------------------
 
 
-@query("select event_id as step, value as loss from events where event_id % 10 = 0 union all select event_id, null from events where event_id % 10 = 5")
+@query("select event_id as step, case when event_id % 10 = 0 then value end as loss from events")
 def train_log(spark, d):
     """Steps appended to a log in two runs and read back; a step without a loss has none."""
     at = new_folder(spark)
     e = table(spark, d, "events").select(F.col("event_id").alias("step"), F.when(F.col("event_id") % 10 == 0, F.col("value")).alias("loss"))
-    for k in (0, 5):
-        writers.append_log(e.where(F.col("step") % 10 == k), at)
+    for k in (0, 1):
+        writers.append_log(e.where(F.col("step") % 2 == k), at)
     return readers.read_jsonl(spark, at, "step bigint, loss double")
 
 

@@ -100,15 +100,14 @@ def response_parts(spark, d):
 # --- tools and conversations ------------------------------------------------------------------------------------------
 
 _Q = '<|"|>'
+_OUTSIDE = "array_to_string([split_part(p, '<|channel>', 1) for p in string_split(coalesce(text, ''), '<channel|>')], '')"
 
 
-@query(f"""select p_partkey, '{{{_Q}brand{_Q}:{_Q}' || p_brand || '{_Q},{_Q}new{_Q}:' || (p_size > 25)::varchar || ',{_Q}size{_Q}:' || p_size || ',{_Q}Tags{_Q}:[{_Q}' || p_type || '{_Q},7]}}' as literal from part""")
+@query(f"""select p_partkey, '{{{_Q}brand{_Q}:{_Q}' || p_brand || '{_Q},{_Q}new{_Q}:' || (p_size > 25)::varchar || ',{_Q}size{_Q}:' || p_size || ',{_Q}Tags{_Q}:[{_Q}' || p_type || '{_Q},{_Q}x{_Q}]}}' as literal from part""")
 def tool_literals(spark, d):
     """JSON values as the chat template prints them: keys sorted without regard to case."""
-    v = F.struct(F.col("p_size").alias("size"), (F.col("p_size") > 25).alias("new"), F.col("p_brand").alias("brand"))
-    j = F.concat(F.expr("substring(to_json(named_struct('size', p_size, 'new', p_size > 25, 'brand', p_brand)), 1, length(to_json(named_struct('size', p_size, 'new', p_size > 25, 'brand', p_brand))) - 1)"), F.lit(',"Tags":['), F.to_json(F.struct(F.col("p_type").alias("t"))), F.lit(",7]}"))
-    j = F.regexp_replace(j, r'\{"t":("(?:[^"\\]|\\.)*")\}', "$1")
-    return table(spark, d, "part").withColumn("v", v).select("p_partkey", tools.printed(tools.literal, j).alias("literal"))
+    v = F.struct(F.col("p_size").alias("size"), F.array("p_type", F.lit("x")).alias("Tags"), (F.col("p_size") > 25).alias("new"), F.col("p_brand").alias("brand"))
+    return table(spark, d, "part").select("p_partkey", tools.printed(tools.literal, F.to_json(v)).alias("literal"))
 
 
 @query(
@@ -142,8 +141,7 @@ def tool_responses(spark, d):
     f"""select id, md5('<bos><|turn>system' || chr(10) || {stripped('context_text')} || '<|tool>declaration:lookup{{description:{_Q}finds{_Q}}}<tool|><turn|>' || chr(10) || '<|turn>user' || chr(10) || {stripped('prompt_text')} || '<turn|>' || chr(10)
     || '<|turn>model' || chr(10) || '<|channel>thought' || chr(10) || 'look it up' || chr(10) || '<channel|>' || '<|tool_call>call:lookup{{n:3,q:{_Q}' || runtime || '{_Q}}}<tool_call|>'
     || '<|tool_response>response:lookup{{value:{_Q}' || runtime || '{_Q}}}<tool_response|>' || {stripped('text')} || '<turn|>' || chr(10)) as rendered_md5
-    from (select distinct id, context_text, prompt_text, coalesce(text, '') as text, runtime from teacher_records where coalesce(text, '') not like '%channel%')
-    where {stripped('context_text')} <> ''"""
+    from (select distinct id, context_text, prompt_text, {_OUTSIDE} as text, runtime from teacher_records)"""
 )
 def chat_template(spark, d):
     """System and tool block, a thought before a call, the tool's answer, and the model's next message in the same turn."""
@@ -154,8 +152,7 @@ def chat_template(spark, d):
     f"""select id, md5('<bos><|turn>system' || chr(10) || {stripped('context_text')} || '<|tool>declaration:lookup{{description:{_Q}finds{_Q}}}<tool|><turn|>' || chr(10) || '<|turn>user' || chr(10) || {stripped('prompt_text')} || '<turn|>' || chr(10)
     || '<|turn>model' || chr(10) || '<|tool_call>call:lookup{{n:3,q:{_Q}' || runtime || '{_Q}}}<tool_call|>'
     || '<|tool_response>response:lookup{{value:{_Q}' || runtime || '{_Q}}}<tool_response|>' || {stripped('text')} || '<turn|>' || chr(10) || '<|turn>user' || chr(10) || 'and now?<|image|><turn|>' || chr(10) || '<|turn>model' || chr(10)) as rendered_md5
-    from (select distinct id, context_text, prompt_text, coalesce(text, '') as text, runtime from teacher_records where coalesce(text, '') not like '%channel%')
-    where {stripped('context_text')} <> ''"""
+    from (select distinct id, context_text, prompt_text, {_OUTSIDE} as text, runtime from teacher_records)"""
 )
 def chat_template_guard(spark, d):
     """The thought is left out where a user speaks after the call; media parts; the prompt for the next turn."""
@@ -164,7 +161,6 @@ def chat_template_guard(spark, d):
 
 def _template(spark, d, late_user: bool) -> DataFrame:
     t = table(spark, d, "teacher_records").select("id", "context_text", "prompt_text", F.coalesce("text", F.lit("")).alias("text"), "runtime").distinct()
-    t = t.where((X.strip(F.coalesce("context_text", F.lit(""))) != "") & ~F.col("text").contains("channel"))
     j = lambda **f: F.to_json(F.struct(*[v.alias(k) for k, v in f.items()]))
     arguments = F.struct(F.col("runtime").alias("q"), F.lit(3).alias("n"))
     call = F.array(F.struct(F.lit("c1").alias("id"), F.struct(F.lit("lookup").alias("name"), arguments.alias("arguments")).alias("function")))
@@ -225,16 +221,12 @@ _NAMES = "case p_size % 4 when 0 then 'm/config.json' when 1 then 'm/tokenizer.m
 
 @query(
     f"""select p_brand, true as exists, bool_or(p = 'm/config.json') as has_config, bool_or(p = 'm/tokenizer.model') as has_tokenizer, bool_or(p like 'm/model-%') as has_weights, bool_or(p = 'm/notes.txt' and contains(p_name, 'a')) as noted
-    from (select *, {_NAMES} as p from part where p_brand in ('Brand#11', 'Brand#12', 'Brand#13') ) group by 1"""
+    from (select *, {_NAMES} as p from part) group by 1"""
 )
 def artifact_files(spark, d):
-    """Which files the folder of each of three models has, and whether its notes hold a text."""
-    out = None
-    for brand in ("Brand#11", "Brand#12", "Brand#13"):
-        f = table(spark, d, "part").where(F.col("p_brand") == brand).select(F.expr(_NAMES).alias("path"), F.col("p_name").alias("text"))
-        r = artifacts.artifact_report(f).join(artifacts.text_checks(f, {"noted": ("/notes.txt", ["a"])}), F.lit(True)).where("exists").withColumn("p_brand", F.lit(brand))
-        out = r if out is None else out.unionByName(r)
-    return out
+    """Which files the folder of each model has, and whether its notes hold a text."""
+    f = table(spark, d, "part").select("p_brand", F.expr(_NAMES).alias("path"), F.col("p_name").alias("text"))
+    return artifacts.artifact_report(f, by=("p_brand",)).join(artifacts.text_checks(f, {"noted": ("/notes.txt", ["a"])}, by=("p_brand",)), "p_brand")
 
 
 @query("select p_partkey, p_size * 2.0::DOUBLE >= 80 as within from part")
@@ -308,11 +300,11 @@ def feature_signatures(spark, d):
 
 @query(
     """select user_id, count(*) as rows, case when count(value) = count(*) then md5(array_to_string(list(round(value * 100)::bigint order by event_id), ',')) end as value_md5,
-    case when count(case when event_id % 2 = 0 then 1 end) = count(*) then 1 end as odd from events where user_id < 200 group by 1"""
+    case when count(case when event_id % 2 = 0 then 1 end) = count(*) then 1 end as odd from events group by 1"""
 )
 def stacked_batches(spark, d):
     """Values of a batch in order; a feature that a row lacks is left out."""
-    e = table(spark, d, "events").where("user_id < 200").select("user_id", "event_id", F.round(F.col("value") * 100).cast("bigint").cast("string").alias("v"), F.when(F.col("event_id") % 2 == 0, 1).alias("odd"))
+    e = table(spark, d, "events").select("user_id", "event_id", F.round(F.col("value") * 100).cast("bigint").cast("string").alias("v"), F.when(F.col("event_id") % 2 == 0, 1).alias("odd"))
     s = blocks.stacked(e, "user_id", "event_id", ["v", "odd"])
     return s.select("user_id", "rows", F.when(F.col("v").isNotNull(), F.md5(F.array_join("v", ","))).alias("value_md5"), F.when(F.col("odd").isNotNull(), 1).alias("odd"))
 
@@ -326,10 +318,6 @@ def entropy_steps(spark, d):
 
 # --- inventories ------------------------------------------------------------------------------------------------------
 
-_EXPERT_BASE = """(select 'model.layers.' || p_partkey || '.mlp.' || s || '.weight' as key, [p_size::int, 8] as shape, p_partkey from part, (values ('gate_proj'), ('up_proj'), ('down_proj')) v(s) where not (s = 'up_proj' and p_partkey % 5 = 0)
-    union all select 'language_model.model.layers.' || p_partkey || '.mlp.gate_proj.weight', [p_size::int + 1, 8], p_partkey from part where p_partkey % 4 = 0)"""
-
-
 @query(
     """select 'model.decoder.layers.' || p_partkey || '.experts.' || s as key, case when s = 'gate_up_proj' and p_partkey % 5 = 0 then null when s = 'router.proj.weight' then null
     when s = 'gate_up_proj' then (case when p_partkey % 4 = 0 then 'language_model.model' else 'model' end) || '.layers.' || p_partkey || '.mlp.gate_proj.weight+model.layers.' || p_partkey || '.mlp.up_proj.weight'
@@ -356,14 +344,14 @@ _REPORTS = "(select p_brand, case p_size % 3 when 0 then 'vision_tower' when 1 t
 
 
 @query(
-    f"""with r as (select family, count(*) as target, sum(ok::int) as copied, sum((not ok)::int) as missing from {_REPORTS} where p_brand in ('Brand#11', 'Brand#12') group by 1),
+    f"""with r as (select family, count(*) as target, sum(ok::int) as copied, sum((not ok)::int) as missing from {_REPORTS} group by 1),
     f as (select bool_or(family = 'vision_tower') and bool_or(family = 'vision_projector') as image, bool_and(case when family like 'vision%' then missing = 0 end) as image_full, coalesce(sum(missing), 0) as missing from r)
     select concat_ws(',', case when missing > 0 then 'missing_source_count=' || missing::bigint end, 'load_missing_count=3', case when image and not image_full then 'image_text_partial_copy' end) as problems,
     coalesce(image, false) as image_text_target_present, coalesce(image and image_full, false) as image_text_fully_copied, false as audio_text_target_present, false as audio_text_fully_copied from f"""
 )
 def transplant_problems(spark, d):
     """What forbids an export: missing sources, keys that a load misses, towers that are there but incomplete."""
-    p = table(spark, d, "part").where(F.col("p_brand").isin("Brand#11", "Brand#12"))
+    p = table(spark, d, "part")
     family = F.expr("case p_size % 3 when 0 then 'vision_tower' when 1 then 'vision_projector' else 'audio_tower' end")
     matched = p.select(family.alias("family"), F.when(F.col("p_partkey") % 2 == 0, "copied").otherwise("missing_source").alias("status"))
     report = weights.coverage(matched)
