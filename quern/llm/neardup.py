@@ -257,9 +257,9 @@ def near_duplicates(records: DataFrame, id_col: str, text: Column, shingle: int
         pairs = pairs.join(texts.select(F.col("text_id").alias(k), F.col("t").alias(f"t_{k}")), k)
     links = pairs.select("a", "b", "t_a", "t_b").mapInArrow(_verified(shingle, threshold), "a bigint, b bigint")
 
-    def met(blocks: DataFrame, which: Column) -> DataFrame:
-        """Links of the pairs of blocks (i <= j) for which ``which`` of a row's ``block`` and its ``mate`` holds; ``blocks`` has their number ``of``."""
-        b = blocks.join(texts.select("text_id", "t"), "text_id").withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("of") - 1))).where(which)
+    def met(blocks: DataFrame, mates: Column) -> DataFrame:
+        """Links of the pairs of blocks (i <= j) that the array ``mates`` of a row's ``block`` names; ``blocks`` has their number ``of``."""
+        b = blocks.join(texts.select("text_id", "t"), "text_id").withColumn("mate", F.explode(mates))
         b = b.select("bucket", F.least("block", "mate").alias("i"), F.greatest("block", "mate").alias("j"), "block", "text_id", "sketch", "component", "t")
         return b.groupBy("bucket", "i", "j").applyInPandas(_block_links(shingle, threshold, perms), "a bigint, b bigint")
 
@@ -268,7 +268,7 @@ def near_duplicates(records: DataFrame, id_col: str, text: Column, shingle: int
     any_large = held.where(F.col("n") > SMALL).limit(1).count() > 0
     if any_large:
         blocks = large.withColumn("of", count(F.col("n"))).withColumn("block", F.pmod(F.xxhash64("text_id", "bucket"), F.col("of")).cast("int")).withColumn("component", ids)
-        first = (F.col("block") == F.col("mate")) | (F.col("block") == 0) | (F.col("mate") == 0)
+        first = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("of") - 1)).otherwise(F.array(F.lit(0), F.col("block")))
         links = links.unionByName(met(blocks, first)).distinct()
     links = stored(links)
     parts = stored(components(links))
@@ -282,7 +282,8 @@ def near_duplicates(records: DataFrame, id_col: str, text: Column, shingle: int
         own = own.join(main, "bucket").withColumn("of", n_main + n_rest)
         salt = F.xxhash64("text_id", "bucket")
         own = own.withColumn("block", F.when(mine, F.pmod(salt, n_main)).otherwise(n_main + F.pmod(salt, n_rest)).cast("int"))
-        more = stored(met(own, (F.col("block") >= n_main) | (F.col("mate") >= n_main)).distinct())
+        others = F.sequence(F.when(F.col("block") < n_main, n_main).otherwise(F.lit(0)), F.col("of") - 1)
+        more = stored(met(own, others).distinct())
         if more.limit(1).count():
             joined = more
             for k in "ab":
