@@ -6,10 +6,11 @@
    minimum as a sketch.  Shingles and minima aren't stored.
 3. Banding.  One aggregate per bucket gives its size and, by minimum, maximum and exclusive or, its pairs if it holds two or three
    texts.  The members of larger buckets are joined back; those of up to ``SMALL`` texts give the pairs whose sketches agree.
-4. A bucket of more than ``SMALL`` texts is cut into blocks; a pair of blocks is one group of bounded size.  First each block meets itself
-   and the first one.  Then what belongs together so far counts as one, and all blocks meet but those whose texts all
-   belong to the bucket's largest group.  Within a pair of blocks only pairs that aren't yet joined by verified links are verified,
-   so a family of any size costs few links, and no bucket is capped.
+4. A bucket of more than ``SMALL`` texts is cut into blocks; a pair of blocks is one group of bounded size.  First, in the
+   ``FIRST`` largest buckets of each text, each block meets itself and the first one.  Then, in all buckets, what belongs together so
+   far counts as one, and all blocks meet but those whose texts all belong to the bucket's largest group.  Within a pair of
+   blocks only pairs that aren't yet joined by verified links are verified, so a family of any size costs few links, and no
+   bucket is capped.
 5. Verification: sketches first, then the exact similarity of the shingle sets.  Every link that is used was verified.
 6. Connected components by alternating large-star and small-star, on links between distinct texts.
 
@@ -24,12 +25,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.llm.common import bounded, drop_stored, stored
 
 SMALL, BLOCK = 48, 256
+FIRST = 2  # buckets per text that are met first
 BIG = 200_000  # larger buckets that are broadcast, at most
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -267,7 +269,8 @@ def near_duplicates(records: DataFrame, id_col: str, text: Column, shingle: int
     count = lambda c: F.ceil(c / F.lit(BLOCK)).cast("int")
     any_large = held.where(F.col("n") > SMALL).limit(1).count() > 0
     if any_large:
-        blocks = large.withColumn("of", count(F.col("n"))).withColumn("block", F.pmod(F.xxhash64("text_id", "bucket"), F.col("of")).cast("int")).withColumn("component", ids)
+        largest = F.row_number().over(Window.partitionBy("text_id").orderBy(F.desc("n"), "bucket"))
+        blocks = large.withColumn("k", largest).where(F.col("k") <= FIRST).withColumn("of", count(F.col("n"))).withColumn("block", F.pmod(F.xxhash64("text_id", "bucket"), F.col("of")).cast("int")).withColumn("component", ids)
         first = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("of") - 1)).otherwise(F.array(F.lit(0), F.col("block")))
         links = links.unionByName(met(blocks, first)).distinct()
     links = stored(links)
