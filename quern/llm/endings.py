@@ -26,7 +26,6 @@ from quern.llm.lexicon import CUT_MARK, FUNCTION_WORDS
 #: First character of a context's name: something is open, nothing can be said, it looks whole, it is surely whole; log-odds without values.
 CLASSES = {"+": 3.0, "?": 0.0, "-": -2.5, "=": -6.0}
 STRENGTH = 8.0  # values that a class is worth
-SAMPLE = 8_000  # values that the model of problem 5 is fitted on
 CUTS = 2  # cuts made of each value
 LIKELY = -1.0  # log-odds from which a value counts as cut: real cuts don't fall just where the simulated ones do
 SHARE = 0.05  # share of cut values without values to fit

@@ -5,7 +5,7 @@
    candidate limit right-censored (EM).  A candidate limit is a length with far more values than its neighbourhood,
    or a range in which values pile up, as word-wise cuts do below their limit.  Every length is tested for both, and every
    significant limit is kept.  The posterior that a value there was censored is what its count exceeds the fitted density by.
-3. A value's terminal context has log-odds from a model fitted on a bounded sample (``endings.fit``); to these the log-odds of a cut at its
+3. A value's terminal context has log-odds from a model fitted on all values (``endings.fit``); to these the log-odds of a cut at its
    length are added: the censoring posterior at a limit, elsewhere the share of cut values.
 """
 
@@ -178,7 +178,7 @@ def find_cuts(records: DataFrame, specs: DataFrame) -> DataFrame:
     r = with_source(records.where(F.col("id").isNotNull()).select(F.col("id").cast("string").alias("id"), "prompt_text", "text", "context_text", "prompt_source"), specs, "prompt_source")
     r = spread(r.withColumn("source", F.coalesce("source_id", F.lit(""))).drop("source_id", "prompt_source"))
     values = F.array(*[F.struct(F.concat_ws("|", "id", F.lit(f)).alias("key"), F.col(f).alias("value")) for f in FIELDS])
-    model = endings.fit(r.select(F.inline(values)), endings.SAMPLE)
+    model = endings.fit(r.select(F.inline(values)))
     limits: dict[tuple[str, str], list] = {}
     for x in length_limits(r).collect():
         limits.setdefault((x["source"], x["field"]), []).append((x["unit"], x["low"], x["high"], x["posterior"]))

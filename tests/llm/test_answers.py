@@ -169,3 +169,13 @@ def test_endings_of_responses_are_fitted_on_all_of_them(spark):
     )
     assert endings.context("Jobs:\n- lamp 7,\n- pier,") == "+item" and endings.Model().likely("Jobs:\n- lamp 7,\n- pier,")
     assert A.find_defects(rows).collect() == []
+
+
+def test_endings_of_values_are_fitted_on_all_of_them(spark):
+    """Sixty-one lists among 40,000 values end with a comma and are whole: too few of them in any sample of 8,000 to tell."""
+    rows = spark.range(20_000).select(
+        F.format_string("r%05d", "id").alias("id"), F.lit(None).cast("string").alias("prompt_text"), F.lit("The lamp turns.").alias("text"),
+        F.when(F.col("id") % 333 == 7, F.format_string("Jobs:\n- lamp %d,\n- pier,", "id")).otherwise("The boats wait.").alias("context_text"),
+        F.lit("s").alias("prompt_source"),
+    )
+    assert find_cuts(rows, spark.createDataFrame([("s", "name")], SPEC)).collect() == []
